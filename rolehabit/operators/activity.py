@@ -110,18 +110,19 @@ def role_calls(calls: DataFrame) -> DataFrame:
 
 
 def role_action_rows(calls: DataFrame) -> DataFrame:
-    """``(principal_id as role_id, action, tick)`` of role calls, with repeats.
+    """``(principal_id as role_id, action)`` of role calls, with repeats, and with
+    the tick and account where the calls carry them.
 
     Role calls without a principal can match no role; leaving them out here keeps
     their one empty key from gathering in a single task of the join.
     """
-    account = [c for c in ("account",) if c in calls.columns]
+    carried = [c for c in ("account", "tick") if c in calls.columns]
     principal = plain(F.col("principal_id"))
     action = action_key(plain(F.col("event_source")), plain(F.col("event_name")))
     return (
         role_calls(calls)
         .where(principal != "")
-        .select(*account, principal.alias("role_id"), action.alias("action"), "tick")
+        .select(principal.alias("role_id"), action.alias("action"), *carried)
     )
 
 
@@ -139,7 +140,7 @@ def of_known_roles(actions: DataFrame, roles: DataFrame) -> DataFrame:
     """
     keys = ["role_id"] + (["account"] if "account" in actions.columns else [])
     known = actions.join(roles.select(*keys), keys, "left_semi")
-    return known.select("role_id", "action", "tick")
+    return known.drop("account")
 
 
 def with_roles(actions: DataFrame, roles: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ last tick in state.  Tests hold them to one another.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -72,24 +72,33 @@ def first_or_lapsed_in_blocks(
     occurrences: DataFrame, ttl: int, block: int, keys: list[str] = KEY
 ) -> DataFrame:
     """The same for ticks so fine (raw event times) that one key may hold a large
-    share of all rows.
+    share of all rows; repeats are allowed.
 
-    Time is cut into blocks of ``block`` seconds.  The window runs inside a key's
-    block, so a hot key is spread over its blocks; only a block's first row needs
-    to know the last tick before it, which comes from one row per block.
+    Time is cut into blocks of ``block`` seconds, at least ``ttl``.  The first
+    window runs inside a key's block, so a hot key is spread over its blocks.
+    What it keeps are the rows after a gap and each block's first row, which has
+    yet to be compared with the last tick of the key's block before; a gap being
+    longer than ``ttl``, that is two rows per block at most for the second window.
     """
-    cut = occurrences.withColumn("_block", F.col("tick") - F.pmod("tick", F.lit(block)))
-    inside = Window.partitionBy(*keys, "_block").orderBy("tick")
-    across = Window.partitionBy(*keys).orderBy("_block")
-    gaps = cut.withColumn("_previous", F.lag("tick").over(inside))
-    inner = gaps.where(F.col("tick") - F.col("_previous") > ttl)
-    firsts = (
-        cut.groupBy(*keys, "_block")
-        .agg(F.min("tick").alias("tick"), F.max("tick").alias("_last"))
-        .withColumn("_before", F.lag("_last").over(across))
-        .where(F.col("_before").isNull() | (F.col("tick") - F.col("_before") > ttl))
+    inside = Window.partitionBy(*keys, "_block")
+    kept = (
+        occurrences.select(*keys, "tick")
+        .withColumn("_block", F.col("tick") - F.pmod("tick", F.lit(block)))
+        .withColumns(
+            {
+                "_previous": F.lag("tick").over(inside.orderBy("tick")),
+                "_last": F.max("tick").over(inside),
+            }
+        )
+        .where(F.col("_previous").isNull() | (F.col("tick") - F.col("_previous") > ttl))
+    )
+    before = F.lag("_last").over(Window.partitionBy(*keys).orderBy("tick"))
+    gap = F.col("tick") - F.coalesce("_previous", "_before")
+    return (
+        kept.withColumn("_before", before)
+        .where(gap.isNull() | (gap > ttl))
+        .select(*keys, "tick")
     )
-    return inner.select(*keys, "tick").unionByName(firsts.select(*keys, "tick"))
 
 
 def sessions(occurrences: DataFrame, ttl: int, keys: list[str] = KEY) -> DataFrame:
@@ -104,15 +113,15 @@ def sessions(occurrences: DataFrame, ttl: int, keys: list[str] = KEY) -> DataFra
     )
 
 
-def baseline_as_of(
-    occurrences: DataFrame, run_epoch: int, ttl: int, tick: Column | None = None
-) -> DataFrame:
+def baseline_as_of(occurrences: DataFrame, run_epoch: int, ttl: int) -> DataFrame:
     """The baseline sequential ticks up to ``run_epoch`` would have left: since a
-    hit only moves the expiry forward, that is the last tick per key."""
-    tick = F.col("tick") if tick is None else tick
+    hit only moves the expiry forward, that is the last tick per key.  Repeats in
+    the input do no harm; they go in the partial aggregate."""
+    account = [c for c in ("account",) if c in occurrences.columns]
+    last = F.max("tick")
     return live(
-        occurrences.where(tick <= run_epoch)
-        .groupBy(*KEY)
-        .agg((F.max(tick) + F.lit(ttl).cast("bigint")).alias("ttl")),
+        occurrences.where(F.col("tick") <= run_epoch)
+        .groupBy(*account, *KEY)
+        .agg(expiry(last, ttl).alias("ttl")),
         run_epoch,
     )

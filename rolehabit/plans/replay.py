@@ -5,7 +5,6 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from rolehabit.functions.moments import epoch_of
 from rolehabit.operators import activity, alerts, novelty
@@ -16,10 +15,15 @@ from rolehabit.sources.inventory import selected_accounts
 
 
 def occurrences(calls: DataFrame, roles: DataFrame, period: int = HOUR) -> DataFrame:
-    """Distinct ``(role_id, action, tick)`` for runs ``period`` seconds apart."""
-    return activity.of_known_roles(
-        activity.role_actions(activity.on_ticks(calls, period)), roles
-    )
+    """Distinct ``(role_id, action, tick)`` for runs ``period`` seconds apart.
+
+    Placed by role and action.  If the inventory is too large to broadcast, rows
+    come out of the join placed by role alone, which later steps would make do
+    with: a role doing a third of everything would stay one task.  Saying so here
+    also lets adaptive execution split that role inside the join.
+    """
+    actions = activity.role_actions(activity.on_ticks(calls, period))
+    return activity.of_known_roles(actions, roles).repartition("role_id", "action")
 
 
 def replay(
@@ -54,10 +58,11 @@ def warm_up(
     """Fill an empty store from history without alerting, so that the first live
     tick does not report everything.  Returns the version."""
     run_epoch = epoch_of(run_ts)
-    learned = novelty.baseline_as_of(
-        occurrences(calls, roles, period), run_epoch, settings.ttl
+    actions = activity.role_action_rows(activity.on_ticks(calls, period))
+    learned = activity.of_known_roles(
+        novelty.baseline_as_of(actions, run_epoch, settings.ttl), roles
     )
     version = store.latest() + 1
-    store.write(learned.select("role_id", "action", F.col("ttl")), version)
+    store.write(learned, version)
     store.publish(version)
     return version

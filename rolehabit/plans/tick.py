@@ -74,7 +74,10 @@ def run_tick(
     seen_calls.write.mode("overwrite").parquet(folder)
     seen_calls = spark.read.schema(schema).parquet(folder)
 
-    seen = activity.of_known_roles(activity.role_actions(seen_calls), roles)
+    # without the tick, which is the same everywhere, the distinct rows are already
+    # placed by the baseline's key
+    actions = activity.role_actions(seen_calls.drop("tick"))
+    seen = activity.at_tick(activity.of_known_roles(actions, roles), run_ts)
     judged_actions = Observation(f"decisions {run_epoch}")
     decisions = novelty.decide(seen, baseline, run_epoch).observe(
         judged_actions,

@@ -18,6 +18,7 @@ from rolehabit.registry.base import (
     registered,
     table,
 )
+from rolehabit.schemas import PARTITIONS
 from rolehabit.session import shared_folder
 from rolehabit.settings import REGIONS, Settings
 from rolehabit.sinks.emission import error_lines
@@ -160,7 +161,7 @@ def role_export(spark, sf_dir):
     over_views(
         """
 SELECT 'no principal in first statement' AS error_note, role_arn AS note,
-       'lambda:cloudtrailanomaly:error' AS sourcetype, '1705320000.000000' AS "time"
+       'lambda:cloudtrailanomaly:error' AS sourcetype, 1705320000 AS "time"
 FROM fx_roles JOIN customer ON role_id = CAST(c_custkey AS VARCHAR) WHERE c_acctbal <= 0"""
     )
 )
@@ -173,11 +174,12 @@ def quarantined_roles(spark, sf_dir):
         F.get_json_object(event, "$.error_note").alias("error_note"),
         F.get_json_object(event, "$.note").alias("note"),
         F.get_json_object("value", "$.sourcetype").alias("sourcetype"),
-        F.get_json_object("value", "$.time").alias("time"),
+        F.get_json_object("value", "$.time").cast("double").cast("int").alias("time"),
     )
 
 
 RECORDS_PER_FILE = 1000
+HOME_ACCOUNTS = 5
 
 
 def write_audit_files(spark, sf_dir) -> str:
@@ -185,10 +187,12 @@ def write_audit_files(spark, sf_dir) -> str:
     folder = new_folder(spark, "audit")
     calls = fx_calls(spark, sf_dir)
     props = table(spark, sf_dir, "events").select("event_id", "props", "user_id")
-    homes = fx_roles(spark, sf_dir).select(F.col("role_id").alias("principal_id"), "account")
-    place = F.element_at(
-        F.array(*[F.lit(r) for r in REGIONS]), F.col("account").cast("int") % len(REGIONS) + 1
+    account = F.col("account").cast("int") % HOME_ACCOUNTS
+    homes = fx_roles(spark, sf_dir).select(
+        F.col("role_id").alias("principal_id"), account.cast("string").alias("account")
     )
+    regions = F.array(*[F.lit(region) for region in REGIONS])
+    place = F.element_at(regions, F.col("account").cast("int") + 1)
     rows = (
         calls.join(props, "event_id")
         .join(homes, "principal_id")
@@ -247,7 +251,7 @@ def ingested_table(spark, sf_dir) -> str:
         files = write_audit_files(spark, sf_dir)
         folder = new_folder(spark, "table")
         flat = audit.flatten(audit.read_files_below(spark, files))
-        audit.write_audit_table(flat, folder)
+        audit.write_audit_table(flat, folder, partitions=PARTITIONS[:3])
         _INGESTED[key] = folder
     return _INGESTED[key]
 
@@ -256,9 +260,9 @@ PLACED = f"""
 places AS (SELECT * FROM (VALUES {', '.join(f"({n}, '{r}')" for n, r in enumerate(REGIONS))})
            AS p(place, region)),
 placed AS (
-  SELECT f.*, r.account, p.region, e.props
+  SELECT f.*, CAST(p.place AS VARCHAR) AS account, p.region, e.props
   FROM fx_audit f JOIN fx_roles r ON f.principal_id = r.role_id
-  JOIN places p ON CAST(r.account AS INT) % 20 = p.place
+  JOIN places p ON CAST(r.account AS INT) % 5 = p.place
   JOIN events e ON e.event_id = f.event_id)"""
 
 
@@ -306,12 +310,12 @@ SELECT DISTINCT account, event_source, event_name,
        identity_type
 FROM placed
 WHERE event_ts >= TIMESTAMP '2024-01-14 12:00:00' AND event_ts < TIMESTAMP '2024-01-15 12:00:00'
-  AND region IN ('ap-northeast-1', 'eu-west-1', 'us-east-1')"""
+  AND region IN ('ap-northeast-1', 'ap-south-1')"""
 )
 def audit_partition_scan(spark, sf_dir):
     """A day's window over the audit table, only its dates
     listed and some regions kept."""
-    settings = Settings(window=86400, regions=("ap-northeast-1", "eu-west-1", "us-east-1"))
+    settings = Settings(window=86400, regions=("ap-northeast-1", "ap-south-1"))
     records = read_audit_table(
         spark, ingested_table(spark, sf_dir), audit.spanned_days(RUN, settings)
     )

@@ -121,17 +121,26 @@ def timed(flat: DataFrame) -> DataFrame:
     return flat.where(F.col("event_ts").isNotNull())
 
 
-def write_audit_table(flat: DataFrame, path: str, mode: str = "append") -> None:
+def write_audit_table(
+    flat: DataFrame,
+    path: str,
+    mode: str = "append",
+    partitions: tuple[str, ...] = PARTITIONS,
+) -> None:
     """Write the table.  The rebalance hint shuffles by partition value but lets
     adaptive execution split a large hour and merge small ones, so neither a
-    busy hour nor a quiet one decides the file size."""
+    busy hour nor a quiet one decides the file size.
+
+    Below some 100 MB an hour, folders per day (``PARTITIONS[:3]``) are enough;
+    the hour is then an ordinary column.
+    """
     (
         timed(flat)
-        .hint("rebalance", *PARTITIONS)
-        .sortWithinPartitions(*PARTITIONS, "account", "event_ts")
+        .hint("rebalance", *partitions)
+        .sortWithinPartitions(*partitions, "account", "event_ts")
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*PARTITIONS)
+        .partitionBy(*partitions)
         .parquet(path)
     )
 

@@ -46,7 +46,7 @@ class LastSeen(StatefulProcessor):
 
 
 def without_repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Drop repeated rows of a partition before they are shuffled to the state.
+    """Drop repeated rows of a partition before anything is shuffled.
 
     State handles repeats anyway; this keeps a hot key from sending all its
     events to one task.  Memory is bounded by flushing.
@@ -81,7 +81,6 @@ def new_actions(
         seed = baseline.select(*keys, last_seen).groupBy(*keys)
     return (
         actions.select(*OCCURRENCE.names)
-        .mapInArrow(without_repeats, OCCURRENCE)
         .groupBy(*keys)
         .transformWithState(
             LastSeen(settings.ttl, evict),
