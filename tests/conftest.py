@@ -19,6 +19,7 @@ def spark(tmp_path_factory):
             "spark.master": "local[8]",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "4g",
+            "spark.sql.maxMetadataStringLength": "10000",
             "spark.sql.shuffle.partitions": "4",
             "spark.sql.warehouse.dir": str(shared / "warehouse"),
             "spark.checkpoint.dir": str(shared),
