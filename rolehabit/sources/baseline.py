@@ -56,10 +56,12 @@ class BaselineStore:
     def _table(self, version: int) -> str:
         return f"baseline_{zlib.crc32(self.root.encode()):08x}_v{version}"
 
-    def load(self, version: int | None = None) -> DataFrame:
+    def load(self, version: int | None = None, bucketed: bool = True) -> DataFrame:
         version = self.latest() if version is None else version
         if version == 0:
             return self.spark.createDataFrame([], BASELINE)
+        if not bucketed:
+            return self.spark.read.schema(BASELINE).parquet(self._folder(version))
         columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in BASELINE)
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self._table(version)} ({columns}) USING parquet "

@@ -63,9 +63,11 @@ def start_new_actions(
     period: int = HOUR,
     settings: Settings = Settings(),
     evict: bool = False,
-    baseline: DataFrame | None = None,
+    seed: BaselineStore | None = None,
 ) -> StreamingQuery:
-    """New actions to Parquet, one folder per micro-batch."""
+    """New actions to Parquet, one folder per micro-batch.  A first start takes
+    over from the snapshots of ``seed``, if given."""
+    baseline = seed and seed.load(bucketed=False)
     stream = new_actions(
         role_action_stream(calls, roles, period), settings, evict, baseline
     )
@@ -86,12 +88,13 @@ def start_alerts(
     period: int = HOUR,
     settings: Settings = Settings(),
     evict: bool = False,
-    baseline: DataFrame | None = None,
+    seed: BaselineStore | None = None,
 ) -> StreamingQuery:
     """Alerts to JSON lines: new actions of a micro-batch are grouped by role and
     tick.  A repeated batch replaces its folder."""
     accounts = selected_accounts(accounts, settings)
     roles = roles_in_scope(roles, accounts)
+    baseline = seed and seed.load(bucketed=False)
     stream = new_actions(
         role_action_stream(calls, roles, period), settings, evict, baseline
     )

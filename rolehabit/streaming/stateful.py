@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
 from pyspark.sql.streaming import StatefulProcessor
 
@@ -13,6 +15,9 @@ from rolehabit.settings import Settings
 
 FLUSH_ROWS = 200_000
 
+# Python workers get this module's code with the job, installed there or not.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 class LastSeen(StatefulProcessor):
     """Emits the ticks at which a key is new and remembers its last one.
@@ -72,7 +77,9 @@ def new_actions(
 ) -> DataFrame:
     """Stream of new ``(role_id, action, tick)`` from a stream of such rows.
 
-    ``baseline`` seeds the state of a first start from a stored snapshot.
+    ``baseline`` seeds the state of a first start.  It must not be a bucketed
+    scan (see ``BaselineStore.load``): Spark would rely on the bucketing to place
+    the rows, and then drop it from a plan only a stateful operator uses.
     """
     keys = list(BASELINE_KEY)
     seed = None

@@ -172,7 +172,7 @@ def test_stream_seeded_from_a_snapshot(spark, history, inventory, expected, tmp_
         jobs.until_caught_up(),
         PERIOD,
         SETTINGS,
-        baseline=store.load(),
+        seed=store,
     ).awaitTermination()
     assert triples(spark.read.parquet(out)) == [r for r in expected if r[2] > 3 * PERIOD]
 
