@@ -33,41 +33,39 @@ def first_principal(policy: Column) -> Column:
 def classify(roles: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Add ``association_type``, ``associated_with`` (VARIANT), ``association_message``
     and ``base_severity`` from ``principal_json`` and ``role_doc``."""
-    parsed = roles.withColumn("_principal", F.try_parse_json("principal_json"))
-    principal = F.col("_principal")
-
-    def value(kind: str, dtype: str) -> Column:
-        return F.try_variant_get(principal, f"$.{kind}", dtype)
-
-    def first_present(outcome, otherwise: Column) -> Column:
-        branches = [(value(k, "variant").isNotNull(), outcome(k)) for k in KINDS]
-        chosen = F.when(*branches[0])
-        for test, result in branches[1:]:
-            chosen = chosen.when(test, result)
-        return chosen.otherwise(otherwise)
-
-    listed = value("Federated", "array<string>")
+    probed = roles.withColumn("_principal", F.try_parse_json("principal_json")).withColumns(
+        {kind: F.try_variant_get("_principal", f"$.{kind}", "variant") for kind in KINDS}
+    )
+    federated = F.col("Federated")
+    listed = F.try_variant_get(federated, "$", "array<string>")
     # a list must hold the token as an element, a text only contain it
     trusted = F.when(
         listed.isNotNull(), F.array_contains(listed, settings.idp_token)
-    ).otherwise(value("Federated", "string").contains(settings.idp_token))
-    severities = {
-        "Service": F.lit("High"),
-        "Federated": F.when(trusted, "Informational").otherwise("High"),
-        "AWS": F.lit("Medium"),
-    }
-    messages = {
-        "Service": F.concat(F.lit(SERVICE_MESSAGE), value("Service", "string")),
-        "Federated": F.lit(FEDERATED_MESSAGE),
-        "AWS": F.lit(CROSS_ACCOUNT_MESSAGE),
-    }
-    return parsed.withColumns(
+    ).otherwise(federated.cast("string").contains(settings.idp_token))
+
+    def by_kind(service: Column, federated: Column, aws: Column, other: Column) -> Column:
+        return (
+            F.when(F.col("Service").isNotNull(), service)
+            .when(F.col("Federated").isNotNull(), federated)
+            .when(F.col("AWS").isNotNull(), aws)
+            .otherwise(other)
+        )
+
+    return probed.withColumns(
         {
-            "association_type": first_present(F.lit, F.lit("?")),
-            "associated_with": first_present(
-                lambda kind: value(kind, "variant"), F.parse_json(F.lit('"?"'))
+            "association_type": by_kind(*[F.lit(kind) for kind in (*KINDS, "?")]),
+            "associated_with": F.coalesce(*KINDS, F.parse_json(F.lit('"?"'))),
+            "association_message": by_kind(
+                F.concat(F.lit(SERVICE_MESSAGE), F.col("Service").cast("string")),
+                F.lit(FEDERATED_MESSAGE),
+                F.lit(CROSS_ACCOUNT_MESSAGE),
+                F.col("role_doc"),
+            ),
+            "base_severity": by_kind(
+                F.lit("High"),
+                F.when(trusted, "Informational").otherwise("High"),
+                F.lit("Medium"),
+                F.lit("Informational"),
             ),
-            "association_message": first_present(messages.get, F.col("role_doc")),
-            "base_severity": first_present(severities.get, F.lit("Informational")),
         }
-    ).drop("_principal")
+    ).drop("_principal", *KINDS)

@@ -9,8 +9,9 @@ from pyspark.sql import SparkSession
 
 from rolehabit.functions.moments import epoch_of, moment
 from rolehabit.settings import Settings
-from rolehabit.sinks.emission import error_lines, quarantine, run_folder, write_lines
+from rolehabit.sinks.emission import error_lines, run_folder, write_lines
 from rolehabit.sources import audit
+from rolehabit.sources.folders import remove
 
 
 def ingest_days(
@@ -28,11 +29,13 @@ def ingest_days(
     For a day still filling up use ``streaming.jobs.start_ingest``, which takes
     each file once.
     """
+    days = list(days)
     paths = audit.day_folders(base, days, regions=settings.regions)
-    files = audit.read_audit_files(spark, paths)
-    flat = audit.flatten(files)
+    for day in days:  # a file repaired since is no longer an error
+        remove(spark, audit.day_folder(audit.unreadable_folder(table), day))
+    flat = audit.flatten(audit.read_audit_files(spark, paths))
     audit.write_audit_table(flat, table, mode="overwrite")
-    bad = quarantine(audit.unreadable_files(files), audit.untimed_records(flat))
+    bad = audit.read_unreadable(spark, table, days)
     write_lines(
         error_lines(bad, moment(run_ts), settings),
         run_folder(output, "errors", epoch_of(run_ts)),

@@ -64,5 +64,5 @@ def warm_up(
     )
     version = store.latest() + 1
     store.write(learned, version)
-    store.publish(version)
+    store.publish(version, run_epoch)
     return version

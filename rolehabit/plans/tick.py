@@ -47,6 +47,9 @@ def run_tick(
 ) -> TickResult:
     """Report what is new at ``run_ts`` and move the baseline on.
 
+    A run that has already published its snapshot is left as it is, so that a
+    retry cannot replace its alerts; ``from_version`` says to run it regardless.
+
     ``output`` is a folder all executors share.  Intermediate results are written
     there and read back: the log is scanned once, and a lost executor costs a
     re-read of small files instead of that scan.  ``windowed=False`` takes all
@@ -54,6 +57,8 @@ def run_tick(
     """
     spark = calls.sparkSession
     run_epoch = epoch_of(run_ts)
+    if from_version is None and store.latest_run() == run_epoch:
+        return TickResult(store.latest(), run_folder(output, "alerts", run_epoch), {})
     version = store.latest() if from_version is None else from_version
     baseline = store.load(version)
     accounts = selected_accounts(accounts, settings)
@@ -95,5 +100,5 @@ def run_tick(
     write_lines(alert_lines(records, moment(run_ts), settings), folder)
 
     store.write(novelty.merge(baseline, decisions, run_epoch, settings.ttl), version + 1)
-    store.publish(version + 1)
+    store.publish(version + 1, run_epoch)
     return TickResult(version + 1, folder, {**scanned.get, **judged_actions.get})

@@ -25,6 +25,7 @@ from rolehabit.registry.base import (
     judged,
     over_views,
     registered,
+    table,
 )
 from rolehabit.session import shared_folder
 from rolehabit.settings import DAY, ROLE_BRANCH, ROOT_BRANCH, USER_BRANCH
@@ -284,7 +285,7 @@ def run_counters(spark, sf_dir):
     against an inventory of the customers in credit."""
     roles = fx_roles(spark, sf_dir)
     actions = activity.role_actions(activity.on_ticks(fx_calls(spark, sf_dir), DAY))
-    solvent = spark.read.parquet(f"{sf_dir}/customer.parquet").where("c_acctbal > 0")
+    solvent = table(spark, sf_dir, "customer").where("c_acctbal > 0")
     partial = solvent.select(F.col("c_custkey").cast("string").alias("role_id"))
     counted = {
         "roles": roles,

@@ -11,6 +11,7 @@ from rolehabit.registry.alerts import ALERT_COLUMNS, SETTINGS, joined, parsed_al
 from rolehabit.registry.base import (
     ALERTS,
     DAILY,
+    TABLES,
     WEEKLY,
     calls_from,
     fx_accounts,
@@ -18,7 +19,6 @@ from rolehabit.registry.base import (
     judged,
     over_views,
     registered,
-    table,
 )
 from rolehabit.schemas import OCCURRENCE
 from rolehabit.session import shared_folder
@@ -27,8 +27,8 @@ from rolehabit.streaming import jobs
 
 
 def call_stream(spark, sf_dir) -> DataFrame:
-    schema = table(spark, sf_dir, "events").schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+    reader = spark.readStream.schema(TABLES["events"])
+    reader = reader.option("pathGlobFilter", "events.parquet")
     return calls_from(reader.parquet(sf_dir))
 
 

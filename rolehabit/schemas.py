@@ -75,6 +75,7 @@ AUDIT_FILE = T.StructType(
 )
 
 PARTITIONS = ("year", "month", "day", "hour")
+UNREADABLE = ("reason", "origin", "content")
 AUDIT_TABLE = T.StructType(
     AUDIT_RECORD.fields
     + _texts("account", "region")

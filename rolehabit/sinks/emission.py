@@ -6,8 +6,6 @@ rather than adding to it.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,10 +28,6 @@ def error_lines(quarantine: DataFrame, time: Column, settings: Settings = Settin
     return quarantine.select(body.alias("value"))
 
 
-def quarantine(*parts: DataFrame) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)
-
-
 def for_topic(lines: DataFrame) -> DataFrame:
     return lines.select(topic_message(F.col("value")).alias("value"))
 

@@ -18,6 +18,7 @@ from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rolehabit.functions.moments import as_utc, date_keys
 from rolehabit.schemas import (
@@ -27,6 +28,7 @@ from rolehabit.schemas import (
     CORRUPT,
     JSON_KEYS,
     PARTITIONS,
+    UNREADABLE,
 )
 from rolehabit.settings import Settings
 from rolehabit.sources.folders import matches
@@ -96,15 +98,24 @@ def _file_name():
 
 def flatten(files: DataFrame) -> DataFrame:
     """One row per record: account, region and date of the file's folder, and
-    the hour of the record's own time."""
-    records = files.select(
+    the hour of the record's own time.
+
+    What cannot be read is a row too, with a ``reason`` and the ``content`` at
+    fault, so that files are parsed once for the table and the quarantine.
+    """
+    records = files.where(F.col("Records").isNull() | (F.size("Records") > 0)).select(
         *[
             F.regexp_extract("file", _LAYOUT, place).alias(name)
             for place, name in enumerate(_PATH_PARTS, 1)
         ],
-        F.inline("Records"),
+        F.when(F.col("Records").isNull(), F.coalesce(F.col(CORRUPT), F.lit(""))).alias("_text"),
+        F.when(F.col("Records").isNull(), F.col("file")).alias("_file"),
+        F.inline_outer("Records"),
     )
     event_ts = F.try_to_timestamp("eventTime")
+    reason = F.when(F.col("_text").isNotNull(), "unreadable file").when(
+        event_ts.isNull(), "unreadable time"
+    )
     return records.select(
         *[F.col(JSON_KEYS.get(name, name)).alias(name) for name in AUDIT_RECORD.names],
         "account",
@@ -114,11 +125,19 @@ def flatten(files: DataFrame) -> DataFrame:
         "month",
         "day",
         date_keys(event_ts)["hour"].alias("hour"),
+        reason.alias("reason"),
+        F.when(reason.isNotNull(), F.coalesce("_file", "eventID", F.lit(""))).alias("origin"),
+        F.when(reason.isNotNull(), F.coalesce("_text", "eventTime", F.lit(""))).alias("content"),
     )
 
 
-def timed(flat: DataFrame) -> DataFrame:
-    return flat.where(F.col("event_ts").isNotNull())
+def readable(flat: DataFrame) -> DataFrame:
+    return flat.where(F.col("reason").isNull()).drop(*UNREADABLE)
+
+
+def by_readability(flat: DataFrame) -> DataFrame:
+    """The table's outermost partition: whether a row is a record or quarantined."""
+    return flat.withColumn("readable", F.col("reason").isNull().cast("string"))
 
 
 def write_audit_table(
@@ -134,13 +153,14 @@ def write_audit_table(
     Below some 100 MB an hour, folders per day (``PARTITIONS[:3]``) are enough;
     the hour is then an ordinary column.
     """
+    folders = ("readable", *partitions)
     (
-        timed(flat)
-        .hint("rebalance", *partitions)
-        .sortWithinPartitions(*partitions, "account", "event_ts")
+        by_readability(flat)
+        .hint("rebalance", *folders)
+        .sortWithinPartitions(*folders, "account", "event_ts")
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partitions)
+        .partitionBy(*folders)
         .parquet(path)
     )
 
@@ -148,30 +168,33 @@ def write_audit_table(
 def read_audit_table(
     spark: SparkSession, path: str, days: Iterable[date] | None = None
 ) -> DataFrame:
-    """The whole table, or some days of it without listing the others."""
-    reader = spark.read.schema(AUDIT_TABLE).option("basePath", path)
-    if days is None:
-        return reader.parquet(path)
-    folders = [f"{path}/year={d:%Y}/month={d:%m}/day={d:%d}" for d in days]
-    present = [folder for folder in folders if matches(spark, folder)]
-    if not present:
-        return spark.createDataFrame([], AUDIT_TABLE)
-    return reader.parquet(*present)
+    """The records of the table, or of some days of it without listing the others."""
+    return _read_part(spark, f"{path}/readable=true", AUDIT_TABLE, days)
 
 
-def unreadable_files(files: DataFrame) -> DataFrame:
-    """Files that are not JSON of the expected shape, for the quarantine."""
-    return files.where(F.col("Records").isNull()).select(
-        F.lit("unreadable file").alias("reason"),
-        F.col("file").alias("origin"),
-        F.coalesce(F.col(CORRUPT), F.lit("")).alias("content"),
+def read_unreadable(
+    spark: SparkSession, path: str, days: Iterable[date] | None = None
+) -> DataFrame:
+    """What could not be read, as ``(reason, origin, content)`` for the quarantine."""
+    schema = T.StructType(
+        [T.StructField(n, T.StringType()) for n in (*UNREADABLE, *PARTITIONS)]
     )
+    return _read_part(spark, unreadable_folder(path), schema, days).select(*UNREADABLE)
 
 
-def untimed_records(flat: DataFrame) -> DataFrame:
-    """Records whose time cannot be read, for the quarantine."""
-    return flat.where(F.col("event_ts").isNull()).select(
-        F.lit("unreadable time").alias("reason"),
-        F.coalesce("eventId", F.lit("")).alias("origin"),
-        F.coalesce("eventTime", F.lit("")).alias("content"),
-    )
+def unreadable_folder(path: str) -> str:
+    return f"{path}/readable=false"
+
+
+def day_folder(root: str, day: date) -> str:
+    return f"{root}/year={day:%Y}/month={day:%m}/day={day:%d}"
+
+
+def _read_part(
+    spark: SparkSession, root: str, schema: T.StructType, days: Iterable[date] | None
+) -> DataFrame:
+    wanted = [root] if days is None else [day_folder(root, day) for day in days]
+    present = [folder for folder in wanted if matches(spark, folder)]
+    if not present:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", root).parquet(*present)

@@ -30,18 +30,21 @@ class BaselineStore:
         self.root = root.rstrip("/")
         published = self._published()
         if published:
-            self.buckets = next(iter(published.values()))
+            self.buckets = next(iter(published.values()))[0]
         else:
             self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    def _published(self) -> dict[int, int]:
-        """Version → buckets, from marker names such as ``00000012-64``."""
+    def _published(self) -> dict[int, tuple[int, int]]:
+        """Version → (buckets, run), from marker names such as ``00000012-64-1704067200``."""
         markers = [
-            name.split("-")
+            [int(part) for part in name.split("-")]
             for name in names_in(self.spark, f"{self.root}/published")
             if not name.startswith((".", "_"))
         ]
-        return {int(version): int(buckets) for version, buckets in markers}
+        return {version: (buckets, run) for version, buckets, run in markers}
+
+    def _marker(self, version: int, buckets: int, run: int) -> str:
+        return f"{self.root}/published/{version:08d}-{buckets}-{run}"
 
     def versions(self) -> list[int]:
         return sorted(self._published())
@@ -50,6 +53,11 @@ class BaselineStore:
         """The newest published version; 0 stands for the empty baseline."""
         return max(self._published(), default=0)
 
+    def latest_run(self) -> int | None:
+        """The run (its epoch second) that published the newest version."""
+        published = self._published()
+        return published[max(published)][1] if published else None
+
     def _folder(self, version: int) -> str:
         return f"{self.root}/snapshots/v{version:08d}"
 
@@ -81,20 +89,18 @@ class BaselineStore:
             .saveAsTable(self._table(version))
         )
 
-    def publish(self, version: int) -> None:
-        """Make a version the current one.  Of two runs that both wrote it, the
-        second fails here."""
-        create_marker(
-            self.spark, f"{self.root}/published/{version:08d}-{self.buckets}"
-        )
+    def publish(self, version: int, run_epoch: int) -> None:
+        """Make a version the current one.  A store has one writer at a time; a
+        second one that started from the same version is caught here."""
+        if version in self._published():
+            raise ValueError(f"version {version} already exists")
+        create_marker(self.spark, self._marker(version, self.buckets, run_epoch))
 
     def expire(self, keep: int = 2) -> None:
         """Delete all but the newest ``keep`` versions."""
         published = self._published()
         for version in sorted(published)[: max(len(published) - keep, 0)]:
-            remove(
-                self.spark, f"{self.root}/published/{version:08d}-{published[version]}"
-            )
+            remove(self.spark, self._marker(version, *published[version]))
             self.spark.sql(f"DROP TABLE IF EXISTS {self._table(version)}")
             remove(self.spark, self._folder(version))
 

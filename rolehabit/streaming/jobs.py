@@ -44,11 +44,11 @@ def role_action_stream(calls: DataFrame, roles: DataFrame, period: int = HOUR) -
 def start_ingest(files: DataFrame, table: str, checkpoint: str, trigger: dict) -> StreamingQuery:
     """Audit files to audit table, each file exactly once."""
     return (
-        audit.timed(audit.flatten(files))
+        audit.by_readability(audit.flatten(files))
         .writeStream.format("parquet")
         .option("path", table)
         .option("checkpointLocation", checkpoint)
-        .partitionBy(*PARTITIONS)
+        .partitionBy("readable", *PARTITIONS)
         .trigger(**trigger)
         .start()
     )

@@ -36,7 +36,8 @@ class LastSeen(StatefulProcessor):
         self.last = handle.getValueState("last_seen", "tick BIGINT", **keep)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        last = self.last.get()[0] if self.last.exists() else None
+        known = self.last.get()
+        last = known[0] if known else None
         for tick in sorted({row.tick for row in rows}):
             if last is None or tick - last > self.ttl:
                 yield Row(role_id=key[0], action=key[1], tick=tick)

@@ -51,15 +51,15 @@ def test_store_versions(spark, tmp_path, stored):
     store.write(stored, 1)
     assert store.latest() == 0  # written, not published
     store.write(stored.where("action <> 'live'"), 1)  # a repeated run replaces it
-    store.publish(1)
+    store.publish(1, NOW)
     assert pairs(store.load(), "action") == [("edge",), ("expired",)]
     with pytest.raises(Exception, match="already exists"):
-        store.publish(1)
+        store.publish(1, NOW)
     for version in (2, 3, 4):
         store.write(stored, version)
-        store.publish(version)
+        store.publish(version, NOW + version)
     store.expire(keep=2)
-    assert store.versions() == [3, 4]
+    assert store.versions() == [3, 4] and store.latest_run() == NOW + 4
     again = BaselineStore(spark, root, buckets=99)
     assert again.buckets == 3 and again.load().count() == 3
     spark.sql(f"DROP TABLE {again._table(4)}")  # as in a session that did not write it
@@ -69,7 +69,7 @@ def test_store_versions(spark, tmp_path, stored):
 def test_tick_does_not_shuffle_the_state(spark, tmp_path, stored, seen):
     store = BaselineStore(spark, str(tmp_path / "store"), buckets=8)
     store.write(stored, 1)
-    store.publish(1)
+    store.publish(1, NOW)
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:

@@ -99,10 +99,15 @@ def test_batch_ticks(spark, history, inventory, expected, tmp_path):
     last = at(TICKS * PERIOD)
     again = BaselineStore(spark, str(tmp_path / "again"))
     again.write(store.load(TICKS - 1), 1)
-    again.publish(1)
+    again.publish(1, 0)
     first = run_tick(frame, inventory, org, again, str(tmp_path / "o2"), last, SETTINGS)
     assert events_in(spark, first.alerts_folder) == [s for s in sent if s[0] == TICKS * PERIOD]
-    second = run_tick(frame, inventory, org, again, str(tmp_path / "o2"), last, SETTINGS)
+    retry = run_tick(frame, inventory, org, again, str(tmp_path / "o2"), last, SETTINGS)
+    assert (retry.version, events_in(spark, retry.alerts_folder)) == (
+        2,
+        events_in(spark, first.alerts_folder),
+    )
+    second = run_tick(frame, inventory, org, again, str(tmp_path / "o2"), last, SETTINGS, 2)
     assert events_in(spark, second.alerts_folder) == []
     assert triples_of_state(again.load(2)) == triples_of_state(again.load(3))
 

@@ -28,7 +28,7 @@ def flat(spark, base, days=(DAY,), **options):
 def test_records_keep_their_declared_columns(spark, files):
     rows = {r.eventName: r for r in flat(spark, files).collect()}
     frame = flat(spark, files)
-    assert frame.columns == AUDIT_TABLE.names
+    assert frame.columns == [*AUDIT_TABLE.names, "reason", "origin", "content"]
     assert frame.columns[: len(AUDIT_RECORD)] == AUDIT_RECORD.names
     first = rows["GetObject"]
     assert json.loads(first.requestParameters) == {"bucketName": "b", "n": {"x": 1}}
@@ -100,6 +100,11 @@ def test_ingest_is_repeatable_and_quarantines(spark, files, tmp_path):
     assert events[0]["note"].endswith("bad.json")
     assert (events[1]["query_response"], events[1]["note"]) == ("yesterday", "ev-9")
 
+    put_audit_file(files, [], name="bad.json")  # repaired, and empty
+    ingest_days(spark, str(files), [DAY], table, out, RUN)
+    assert spark.read.text(f"{out}/errors").count() == 1
+    assert audit.read_audit_table(spark, table).count() == 2
+
 
 def test_replacing_a_day_leaves_the_others(spark, files, tmp_path):
     put_audit_file(files, [{**FIRST, "eventTime": "2024-01-01T23:59:59Z"}], day="2024/01/01")
