@@ -61,13 +61,22 @@ def judged(
     new_actions: DataFrame, roles: DataFrame, settings: Settings = Settings()
 ) -> DataFrame:
     """Grouped actions with role details, class, severity and skip reason; held
-    back ones are still there."""
+    back ones are still there.
+
+    Policies are classified before the join, once per role: over a history a role
+    has many groups.  For a single tick pass only ``roles_with_news``.
+    """
     groups = group_by_role(reportable(new_actions, settings))
-    return classify(groups.join(roles, "role_id"), settings).withColumns(
+    return groups.join(classify(roles, settings), "role_id").withColumns(
         {"severity": severity(settings), "skip_reason": skip_reason(settings)}
     )
 
 
+def roles_with_news(roles: DataFrame, new_actions: DataFrame) -> DataFrame:
+    """The few roles a tick has something new for."""
+    return roles.join(new_actions.select("role_id"), "role_id", "left_semi")
+
+
 def sent(judged_groups: DataFrame) -> DataFrame:
     return judged_groups.where(F.col("skip_reason") == "")
 

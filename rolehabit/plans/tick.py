@@ -95,7 +95,8 @@ def run_tick(
     decisions = spark.read.schema(schema).parquet(folder)
 
     new = decisions.where("is_new").drop("is_new")
-    records = alerts.alert_records(alerts.judged(new, roles, settings), accounts)
+    concerned = alerts.roles_with_news(roles, new)
+    records = alerts.alert_records(alerts.judged(new, concerned, settings), accounts)
     folder = run_folder(output, "alerts", run_epoch)
     write_lines(alert_lines(records, moment(run_ts), settings), folder)
 

@@ -62,6 +62,6 @@ def stream_alerts(spark, sf_dir):
         DAY,
         SETTINGS,
     ).awaitTermination()
-    written = spark.read.schema("value string").text(f"{root}/out")
+    written = spark.read.schema("value string").text(f"{root}/out/alerts")
     alerts = parsed_alerts(written.select(F.col("value")))
     return alerts.withColumn("role_actions", joined("role_actions"))

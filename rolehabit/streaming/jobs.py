@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from rolehabit.functions.moments import tick_after
 from rolehabit.operators import activity, alerts
 from rolehabit.plans.tick import roles_in_scope, run_tick
-from rolehabit.schemas import PARTITIONS
+from rolehabit.schemas import OCCURRENCE, PARTITIONS
 from rolehabit.settings import HOUR, Settings
 from rolehabit.sinks.emission import alert_lines, write_lines
 from rolehabit.sources import audit
@@ -91,7 +91,8 @@ def start_alerts(
     seed: BaselineStore | None = None,
 ) -> StreamingQuery:
     """Alerts to JSON lines: new actions of a micro-batch are grouped by role and
-    tick.  A repeated batch replaces its folder."""
+    tick.  They are written first and read back, so that the state is updated
+    once however often they are used.  A repeated batch replaces its folders."""
     accounts = selected_accounts(accounts, settings)
     roles = roles_in_scope(roles, accounts)
     baseline = seed and seed.load(bucketed=False)
@@ -100,9 +101,13 @@ def start_alerts(
     )
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        records = alerts.alert_records(alerts.judged(batch, roles, settings), accounts)
+        folder = f"{output}/new_actions/batch={batch_id}"
+        batch.write.mode("overwrite").parquet(folder)
+        new = batch.sparkSession.read.schema(OCCURRENCE).parquet(folder)
+        concerned = alerts.roles_with_news(roles, new)
+        records = alerts.alert_records(alerts.judged(new, concerned, settings), accounts)
         lines = alert_lines(records, F.timestamp_seconds("tick"), settings)
-        write_lines(lines, f"{output}/batch={batch_id}")
+        write_lines(lines, f"{output}/alerts/batch={batch_id}")
 
     return _start(stream, write, checkpoint, trigger)
 

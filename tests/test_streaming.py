@@ -44,7 +44,8 @@ def test_alert_lines_of_a_stream(spark, tmp_path):
         jobs.until_caught_up(),
         settings=Settings(role_grace=0),
     ).awaitTermination()
-    (line,) = [json.loads(r.value) for r in spark.read.text(str(tmp_path / "out")).collect()]
+    lines = spark.read.text(str(tmp_path / "out/alerts")).collect()
+    (line,) = [json.loads(r.value) for r in lines]
     assert line["time"] == 3600
     assert json.loads(line["event"])["role_actions"] == ["svc:a", "svc:b"]
 
