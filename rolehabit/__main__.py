@@ -1,6 +1,6 @@
 """Jobs from the command line, for spark-submit:
 
-    spark-submit --py-files rolehabit.zip -m rolehabit tick --table … --roles … …
+    spark-submit --py-files rolehabit.zip rolehabit/__main__.py tick --table … --roles … …
 """
 
 from __future__ import annotations

@@ -137,8 +137,9 @@ def start_ticks(
         if version + 1 in store.versions():
             return
         run_ts = clock(batch).replace(microsecond=0)
+        folder = f"{output}/batch={batch_id}"
         run_tick(
-            batch, roles, accounts, store, output, run_ts, settings, version, windowed=False
+            batch, roles, accounts, store, folder, run_ts, settings, version, windowed=False
         )
 
     return _start(calls, tick, checkpoint, trigger, mode="append")

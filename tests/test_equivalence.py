@@ -206,5 +206,5 @@ def test_micro_batches_as_ticks(spark, history, inventory, expected, tmp_path):
         if n == 1:
             run(2)
     run(TICKS)
-    decided = spark.read.parquet(f"{out}/decisions").where("is_new")
+    decided = spark.read.parquet(f"{out}/batch=*/decisions/run=*").where("is_new")
     assert triples(decided) == expected
