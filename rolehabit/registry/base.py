@@ -113,7 +113,7 @@ def fx_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return calls_from(table(spark, sf_dir, "events"))
 
 
-def calls_from(events: DataFrame) -> DataFrame:
+def calls_from(events: DataFrame, *kept: str) -> DataFrame:
     last_digit = F.regexp_extract("props", "([0-9]+)", 1).cast("int") % 10
     kind = F.col("user_id") % 10
     identity = (
@@ -128,6 +128,7 @@ def calls_from(events: DataFrame) -> DataFrame:
         ),
         F.col("event_type").alias("event_name"),
         identity.alias("identity_type"),
+        *kept,
     )
 
 

@@ -11,8 +11,8 @@ from rolehabit.functions.moments import moment
 from rolehabit.operators import activity
 from rolehabit.registry.base import (
     VIEWS,
+    calls_from,
     fx_accounts,
-    fx_calls,
     fx_roles,
     over_views,
     registered,
@@ -185,8 +185,7 @@ HOME_ACCOUNTS = 5
 def write_audit_files(spark, sf_dir) -> str:
     """The events as nested audit files, one JSON document each."""
     folder = new_folder(spark, "audit")
-    calls = fx_calls(spark, sf_dir)
-    props = table(spark, sf_dir, "events").select("event_id", "props", "user_id")
+    calls = calls_from(table(spark, sf_dir, "events"), "props")
     account = F.col("account").cast("int") % HOME_ACCOUNTS
     homes = fx_roles(spark, sf_dir).select(
         F.col("role_id").alias("principal_id"), account.cast("string").alias("account")
@@ -194,8 +193,7 @@ def write_audit_files(spark, sf_dir) -> str:
     regions = F.array(*[F.lit(region) for region in REGIONS])
     place = F.element_at(regions, F.col("account").cast("int") + 1)
     rows = (
-        calls.join(props, "event_id")
-        .join(homes, "principal_id")
+        calls.join(homes, "principal_id")
         .withColumn("region", place)
         .withColumn("part", F.floor(F.col("event_id") / RECORDS_PER_FILE))
     )
