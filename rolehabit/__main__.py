@@ -19,6 +19,7 @@ from rolehabit.plans.tick import roles_in_scope, run_tick
 from rolehabit.session import build_session
 from rolehabit.settings import REGIONS, Settings
 from rolehabit.sinks.emission import alert_lines, write_lines
+from rolehabit.sinks.tables import written
 from rolehabit.sources import audit, inventory
 from rolehabit.sources.baseline import BaselineStore
 from rolehabit.streaming import jobs
@@ -34,6 +35,8 @@ def parser() -> argparse.ArgumentParser:
         command = sub.add_parser(name, help=text)
         for option in needs.split():
             command.add_argument(f"--{option}", required=True)
+        if "baseline" not in needs:
+            command.add_argument("--baseline", help="snapshots a stream starts from")
         command.add_argument("--run-ts", type=_time, default=None, help="ISO time; now if left out")
         command.add_argument("--business", default="", help="label of all accounts")
         command.add_argument("--business-token", default=None)
@@ -43,6 +46,7 @@ def parser() -> argparse.ArgumentParser:
         for option in ("accounts", "roles", "actions", "services"):
             verb = "skip" if option == "accounts" else "ignore"
             command.add_argument(f"--{verb}-{option}", nargs="*", default=[])
+        command.add_argument("--once", action="store_true", help="end a stream when caught up")
         command.add_argument("--today-only", action="store_true")
         command.add_argument("--owner-as-list", action="store_true")
 
@@ -51,6 +55,11 @@ def parser() -> argparse.ArgumentParser:
     job("warm-up", "table roles accounts baseline", "fill an empty baseline from the table")
     job("replay", "table roles accounts output", "alerts of all hourly runs of the table")
     job("stream-ingest", "logs table checkpoint", "audit files to the table, each once")
+    job(
+        "stream-alerts",
+        "logs roles accounts output checkpoint",
+        "audit files to alerts, hour by hour, from keyed state",
+    )
     return top
 
 
@@ -74,11 +83,14 @@ def settings_of(options: argparse.Namespace) -> Settings:
 
 
 def inventories(spark: SparkSession, options, settings) -> tuple[DataFrame, DataFrame]:
+    """Roles and accounts in scope, parsed once and kept with the output."""
+    folder = f"{getattr(options, 'output', None) or options.baseline}/inventory"
     accounts = inventory.read_accounts(spark, options.accounts).withColumn(
         "business", F.lit(options.business)
     )
-    accounts = inventory.selected_accounts(accounts, settings)
-    return roles_in_scope(inventory.read_roles(spark, options.roles), accounts), accounts
+    accounts = written(inventory.selected_accounts(accounts, settings), f"{folder}/accounts")
+    roles = roles_in_scope(inventory.read_roles(spark, options.roles), accounts)
+    return written(roles, f"{folder}/roles"), accounts
 
 
 def main(arguments: list[str] | None = None) -> None:
@@ -91,14 +103,28 @@ def main(arguments: list[str] | None = None) -> None:
         days = audit.spanned_days(run_ts, settings)
         ingest_days(spark, options.logs, days, options.table, options.output, run_ts, settings)
         return
+    trigger = jobs.until_caught_up() if options.once else jobs.hourly()
     if options.job == "stream-ingest":
         files = audit.stream_audit_files(spark, options.logs)
-        jobs.start_ingest(
-            files, options.table, options.checkpoint, jobs.hourly()
-        ).awaitTermination()
+        jobs.start_ingest(files, options.table, options.checkpoint, trigger).awaitTermination()
         return
 
     roles, accounts = inventories(spark, options, settings)
+    if options.job == "stream-alerts":
+        records = audit.readable(audit.flatten(audit.stream_audit_files(spark, options.logs)))
+        seed = BaselineStore(spark, options.baseline) if options.baseline else None
+        jobs.start_alerts(
+            calls_of(records),
+            roles,
+            accounts,
+            options.output,
+            options.checkpoint,
+            trigger,
+            settings=settings,
+            evict=True,
+            seed=seed,
+        ).awaitTermination()
+        return
     days = audit.spanned_days(run_ts, settings) if options.job == "tick" else None
     calls = calls_of(audit.read_audit_table(spark, options.table, days))
     if options.job == "replay":

@@ -18,6 +18,7 @@ from rolehabit.functions.moments import epoch_of, moment
 from rolehabit.operators import activity, alerts, novelty
 from rolehabit.settings import IDENTITY_TYPES, Settings
 from rolehabit.sinks.emission import alert_lines, run_folder, write_lines
+from rolehabit.sinks.tables import written
 from rolehabit.sources.baseline import BaselineStore
 from rolehabit.sources.inventory import selected_accounts, usable_roles
 
@@ -55,7 +56,6 @@ def run_tick(
     re-read of small files instead of that scan.  ``windowed=False`` takes all
     calls given, for micro-batches, which hold each call once.
     """
-    spark = calls.sparkSession
     run_epoch = epoch_of(run_ts)
     if from_version is None and store.latest_run() == run_epoch:
         return TickResult(store.latest(), run_folder(output, "alerts", run_epoch), {})
@@ -74,14 +74,14 @@ def run_tick(
             for name in IDENTITY_TYPES
         ],
     )
-    folder = run_folder(output, "activity", run_epoch)
-    schema = seen_calls.schema
-    seen_calls.write.mode("overwrite").parquet(folder)
-    seen_calls = spark.read.schema(schema).parquet(folder)
+    seen_calls = written(seen_calls, run_folder(output, "activity", run_epoch))
 
     # without the tick, which is the same everywhere, the distinct rows are already
     # placed by the baseline's key
-    actions = activity.role_actions(seen_calls.drop("tick"))
+    all_actions = Observation(f"actions {run_epoch}")
+    actions = activity.role_actions(seen_calls.drop("tick")).observe(
+        all_actions, F.count(F.lit(1)).alias("principal_actions")
+    )
     seen = activity.at_tick(activity.of_known_roles(actions, roles), run_ts)
     judged_actions = Observation(f"decisions {run_epoch}")
     decisions = novelty.decide(seen, baseline, run_epoch).observe(
@@ -89,10 +89,7 @@ def run_tick(
         F.count(F.lit(1)).alias("role_actions"),
         F.count_if("is_new").alias("new_actions"),
     )
-    folder = run_folder(output, "decisions", run_epoch)
-    schema = decisions.schema
-    decisions.write.mode("overwrite").parquet(folder)
-    decisions = spark.read.schema(schema).parquet(folder)
+    decisions = written(decisions, run_folder(output, "decisions", run_epoch))
 
     new = decisions.where("is_new").drop("is_new")
     concerned = alerts.roles_with_news(roles, new)
@@ -102,4 +99,8 @@ def run_tick(
 
     store.write(novelty.merge(baseline, decisions, run_epoch, settings.ttl), version + 1)
     store.publish(version + 1, run_epoch)
-    return TickResult(version + 1, folder, {**scanned.get, **judged_actions.get})
+    counters = {**scanned.get, **all_actions.get, **judged_actions.get}
+    counters["unknown_principal_actions"] = (
+        counters["principal_actions"] - counters["role_actions"]
+    )
+    return TickResult(version + 1, folder, counters)

@@ -1,7 +1,8 @@
 """Streaming queries: ingest, alerts from keyed state, ticks from micro-batches.
 
 A file source takes each file once, whenever it arrives, so there is no trailing
-window and no event is too late.
+window and no event is too late.  Inventories are those of the query's start and
+come from tables (``sinks.tables.written``): a stream cannot number export lines.
 """
 
 from __future__ import annotations
@@ -16,9 +17,10 @@ from pyspark.sql.streaming import StreamingQuery
 from rolehabit.functions.moments import tick_after
 from rolehabit.operators import activity, alerts
 from rolehabit.plans.tick import roles_in_scope, run_tick
-from rolehabit.schemas import OCCURRENCE, PARTITIONS
+from rolehabit.schemas import PARTITIONS
 from rolehabit.settings import HOUR, Settings
 from rolehabit.sinks.emission import alert_lines, write_lines
+from rolehabit.sinks.tables import written
 from rolehabit.sources import audit
 from rolehabit.sources.baseline import BaselineStore
 from rolehabit.sources.folders import create_marker, names_in
@@ -101,9 +103,7 @@ def start_alerts(
     )
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        folder = f"{output}/new_actions/batch={batch_id}"
-        batch.write.mode("overwrite").parquet(folder)
-        new = batch.sparkSession.read.schema(OCCURRENCE).parquet(folder)
+        new = written(batch, f"{output}/new_actions/batch={batch_id}")
         concerned = alerts.roles_with_news(roles, new)
         records = alerts.alert_records(alerts.judged(new, concerned, settings), accounts)
         lines = alert_lines(records, F.timestamp_seconds("tick"), settings)

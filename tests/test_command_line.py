@@ -40,9 +40,9 @@ def test_files_to_alerts(spark, tmp_path):
         (tmp_path / name).mkdir()
         (tmp_path / name / "export.json").write_text("\n".join(map(json.dumps, rows)))
 
-    def run(job, run_ts, *needs):
+    def run(job, run_ts, *needs, once=False):
         places = [arg for need in needs for arg in (f"--{need}", str(tmp_path / need))]
-        main([job, *places, "--run-ts", run_ts, "--business", "retail"])
+        main([job, *places, "--run-ts", run_ts, "--business", "retail", *["--once"] * once])
 
     inputs = ("table", "roles", "accounts")
     run("ingest", "2024-01-02T12:00:00", "logs", "table", "output")
@@ -64,3 +64,13 @@ def test_files_to_alerts(spark, tmp_path):
     )
     run("replay", "2024-01-02T12:00:00", *inputs, "output")
     assert sorted(len(a["role_actions"]) for a in alerts("replay")) == [1, 4]
+
+    # the same files as a stream that takes over from the warm-up
+    (tmp_path / "baseline/published").joinpath("00000002-4-1704196800").unlink()
+    needs = ("logs", "roles", "accounts", "baseline", "output", "checkpoint")
+    run("stream-alerts", "2024-01-02T12:00:00", *needs, once=True)
+    (alert,) = [
+        json.loads(json.loads(r.value)["event"])
+        for r in spark.read.text(str(tmp_path / "output/alerts/batch=0")).collect()
+    ]
+    assert len(alert["role_actions"]) == 4

@@ -81,6 +81,8 @@ def test_batch_ticks(spark, history, inventory, expected, tmp_path):
     decided = spark.read.parquet(f"{out}/decisions")
     assert triples(decided.where("is_new")) == expected
     assert sum(c["new_actions"] for c in counters) == len(expected)
+    ghosts = {(when // PERIOD, what) for when, who, what in history if who == "ghost"}
+    assert sum(c["unknown_principal_actions"] for c in counters) == len(ghosts)
     assert store.latest() == TICKS
 
     whole = replay_alerts(frame, inventory, org, PERIOD, SETTINGS)
@@ -206,3 +208,16 @@ def test_micro_batches_as_ticks(spark, history, inventory, expected, tmp_path):
     run(TICKS)
     decided = spark.read.parquet(f"{out}/batch=*/decisions/run=*").where("is_new")
     assert triples(decided) == expected
+
+
+def test_quiet_hours(spark, inventory, tmp_path):
+    """Nothing seen, then everything expired, then something again."""
+    store, out = BaselineStore(spark, str(tmp_path / "store")), str(tmp_path / "out")
+    frame = calls(spark, [(10, "R1", "a"), (50 * PERIOD + 10, "R1", "a")])
+    found = []
+    for hour in (1, 2, 50, 51):
+        result = run_tick(
+            frame, inventory, accounts(spark), store, out, at(hour * PERIOD), SETTINGS
+        )
+        found.append((result.counters["new_actions"], store.load().count()))
+    assert found == [(1, 1), (0, 1), (0, 0), (1, 1)]
