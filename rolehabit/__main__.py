@@ -77,6 +77,8 @@ def settings_of(options: argparse.Namespace) -> Settings:
         ignored_roles=tuple(options.ignore_roles),
         ignored_actions=tuple(options.ignore_actions),
         ignored_services=tuple(options.ignore_services),
+        # a live run takes what has arrived; a run of the past must not see ahead
+        bound_above=options.run_ts is not None,
         today_only=options.today_only,
         owner_as_list=options.owner_as_list,
     )

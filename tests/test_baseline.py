@@ -5,10 +5,11 @@ import random
 import pytest
 
 from rolehabit.operators import novelty
+from rolehabit.plans.replay import occurrences, replay
 from rolehabit.registry.base import fx_calls, fx_roles
-from rolehabit.sources.baseline import BaselineStore, live
 from rolehabit.schemas import BASELINE, OCCURRENCE
-from tests.samples import plan_of
+from rolehabit.sources.baseline import BaselineStore, live
+from tests.samples import plan_of, role, roles
 
 NOW = 1_000_000
 TTL = 100
@@ -123,10 +124,40 @@ def test_all_forms_of_the_rule(spark, seed):
     assert pairs(novelty.baseline_as_of(frame, 2000, ttl), "role_id", "ttl") == left
 
 
+def test_hot_role_is_split_inside_the_join(spark):
+    """Two thirds of all rows by one role, no broadcast: tasks of the join share it."""
+    spread = spark.range(0, 120_000, 1, 8).selectExpr(
+        "timestamp_seconds(id * 60) AS event_ts",
+        "'svc' AS event_source",
+        "concat('call', pmod(xxhash64(id), 97)) AS event_name",
+        "if(id % 3 = 0, concat('R', id % 50), 'hot') AS principal_id",
+        "'AssumedRole' AS identity_type",
+    )
+    inventory = roles(spark, role("hot"), *[role(f"R{n}") for n in range(50)])
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
+    }
+    before = {key: spark.conf.get(key, None) for key in conf}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        frame = occurrences(spread, inventory, 60)
+        assert frame.count() == 120_000
+        frame.collect()
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert "SortMergeJoin(skew=true)" in plan
+
+
 def test_large_inventory_does_not_gather_a_hot_role(spark, sf_dir):
     """Without a broadcast the window must not inherit the join's placement by role."""
-    from rolehabit.plans.replay import replay
-
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
