@@ -1,6 +1,6 @@
 """Operators for preparing training data, and the queries that apply them."""
 
-from rolehabit.llm import ngram_join, pii, quality, token_counts  # noqa: F401
+from rolehabit.llm import mixing, ngram_join, pii, quality, token_counts  # noqa: F401
 from rolehabit.llm.common import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
