@@ -32,7 +32,7 @@ from rolehabit.llm.components import components
 
 WORDS = 5
 PERCENT = 80
-BUCKETS, SLICES = 1 << 16, 16
+BUCKETS, SLICES = 1 << 20, 256
 MATCHES = (1, 2, 4, 8, 16, 32)
 #: Sets remembered by a task so as to pass each on once.
 REMEMBERED = 1 << 18
@@ -63,7 +63,7 @@ def node_of(found: np.ndarray) -> int:
 
 
 def buckets(found: np.ndarray) -> np.ndarray:
-    return (found >> np.uint64(48)).astype(np.int64)
+    return (found >> np.uint64(64 - 20)).astype(np.int64)
 
 
 def read_sets(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, np.ndarray]:
@@ -132,8 +132,8 @@ def prefixes(docs: DataFrame, text: str, counts: np.ndarray) -> DataFrame:
     """(node, n, wanted, tokens): each distinct set's prefix, once per task at most."""
     rank = np.empty(BUCKETS, np.uint64)
     rank[np.argsort(counts, kind="stable")] = np.arange(BUCKETS, dtype=np.uint64)
-    excess = np.maximum(counts - np.median(counts), 0) + 0.1
-    ordering = docs.sparkSession.sparkContext.broadcast((rank, excess))  # BUCKETS pairs of numbers
+    excess = (np.maximum(counts - np.median(counts), 0) + 0.1).astype(np.float32)
+    ordering = docs.sparkSession.sparkContext.broadcast((rank.astype(np.uint32), excess))  # BUCKETS pairs of numbers
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank, excess = ordering.value
