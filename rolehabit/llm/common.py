@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+import rolehabit
 from rolehabit.session import shared_folder
 
 #: Rows of one Arrow batch; texts can be long, so batches are short.
@@ -33,10 +37,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        root = os.path.dirname(os.path.dirname(os.path.abspath(rolehabit.__file__)))
+        archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(), rolehabit.__name__), "zip", root, rolehabit.__name__)
+        context.addPyFile(archive)
+        _SHIPPED.add(context.applicationId)
+
+
 def map_batches(
     frame: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
 ) -> DataFrame:
     """mapInArrow with batches short enough for long texts."""
+    ship(frame.sparkSession)
     frame.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return frame.mapInArrow(function, schema)
 
