@@ -7,10 +7,10 @@ protected entity e.  A term t that stands within ``REACH`` characters of it disc
 
     log(P(e | t) / P(e)) / log(1 / P(e))
 
-of the information that names e, with P(e | t) the share of the texts with t that have t
-beside e, and P(e) the share of all texts with e.  Where at least ``CONTEXTS`` different
-surroundings speak for it and the share reaches ``DISCLOSURE``, the term is a finding too,
-in the texts that hold e.  Counts are over distinct texts, so copies prove nothing.
+of the information that names e, with P(e | t) the share of the documents with t that have
+t beside e, and P(e) the share of all documents with e.  Where at least ``CONTEXTS``
+different surroundings speak for it, so that copies prove nothing, and the share reaches
+``DISCLOSURE``, the term is a finding too, in the documents that hold e.
 
 Texts stay where they are: what is shuffled are surroundings of base findings, counts of
 terms that may matter (kept back by a filter of fixed size, then joined exactly), and
@@ -20,6 +20,7 @@ the additions of single texts.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +35,8 @@ KINDS = ("email", "ip", "card", "phone")
 REACH, CONTEXTS, DISCLOSURE = 80, 3, 0.8
 #: Bits of the filter that holds candidate terms back; 1 MB whatever the corpus.
 FILTER_BITS = 1 << 23
+#: Counts a task holds before it passes them on.
+HELD = 1 << 18
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -105,14 +108,24 @@ def _bit(term: str) -> int:
     return xxhash.xxh3_64_intdigest(term) % FILTER_BITS
 
 
+def _flushed(counts: Counter, names: list[str], types: list[pa.DataType]) -> pa.RecordBatch:
+    columns = list(zip(*((*k, n) for k, n in counts.items()), strict=True)) or [[] for _ in names]
+    counts.clear()
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
+
+
 def _surroundings(texts: DataFrame) -> DataFrame:
-    """(entity, term, context, text): each term beside each entity, once for a text."""
+    """(entity, term, context, n): each term beside each entity, and a null term for the entity itself.
+
+    n counts the documents of a task where this is the first such surrounding of the two,
+    so that the sum over all contexts is a number of documents.
+    """
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter = Counter()
+        names, types = ["entity", "term", "context", "n"], [pa.int64(), pa.string(), pa.int64(), pa.int64()]
         for batch in rows:
-            out: list[tuple[int, str | None, int, int]] = []
-            for digest, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                text = value.as_py()
+            for text in batch.column(0).to_pylist():
                 spans = base_spans(text)
                 seen = set()
                 for entity, a, b in entities(text, spans):
@@ -123,33 +136,31 @@ def _surroundings(texts: DataFrame) -> DataFrame:
                         if (w.start() or not low) and (w.end() < high - low or high == len(text))
                     ]
                     context = xxhash.xxh3_64_intdigest(" ".join(words)) - (1 << 63)
-                    seen.add((entity, None, context))
-                    seen.update((entity, w, context) for w in words)
-                out += [(e, w, c, digest) for e, w, c in seen]
-            columns = list(zip(*out, strict=True)) or [[], [], [], []]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.int64()), pa.array(columns[3], pa.int64())],
-                ["entity", "term", "context", "digest"],
-            )
+                    for term in {None, *words}:
+                        counts[entity, term, context] += (entity, term) not in seen
+                        seen.add((entity, term))
+            if len(counts) > HELD:
+                yield _flushed(counts, names, types)
+        yield _flushed(counts, names, types)
 
-    return map_batches(texts, batches, "entity long, term string, context long, digest long").distinct()
+    return map_batches(texts, batches, "entity long, term string, context long, n long")
 
 
 def _term_counts(texts: DataFrame, bits: bytes) -> DataFrame:
-    """(term, texts): in how many distinct texts each term that passes the filter stands."""
+    """(term, texts): how many documents hold each term that passes the filter."""
     shared = texts.sparkSession.sparkContext.broadcast(bits)  # FILTER_BITS / 8 bytes
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.unpackbits(np.frombuffer(shared.value, np.uint8), bitorder="little")
+        counts: Counter = Counter()
         for batch in rows:
-            terms, digests = [], []
-            for digest, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                found = {t for t in {w.lower() for w in _TERM.findall(value.as_py())} if held[_bit(t)]}
-                terms += found
-                digests += [digest] * len(found)
-            yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array(digests, pa.int64())], ["term", "digest"])
+            for text in batch.column(0).to_pylist():
+                counts.update((t,) for t in {w.lower() for w in _TERM.findall(text)} if held[_bit(t)])
+            if len(counts) > HELD:
+                yield _flushed(counts, ["term", "n"], [pa.string(), pa.int64()])
+        yield _flushed(counts, ["term", "n"], [pa.string(), pa.int64()])
 
-    return map_batches(texts, batches, "term string, digest long").distinct().groupBy("term").agg(F.count("*").alias("texts"))
+    return map_batches(texts, batches, "term string, n long").groupBy("term").agg(F.sum("n").alias("texts"))
 
 
 def _bits_of(terms: DataFrame) -> bytes:
@@ -167,16 +178,14 @@ def _bits_of(terms: DataFrame) -> bytes:
 
 
 def disclosing_terms(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(entity, term) where the term gives the entity away, by counts over all distinct texts."""
-    texts = docs.select(F.xxhash64(text).alias("digest"), F.col(text).alias("t")).where("t is not null")
+    """(entity, term) where the term gives the entity away, by counts over all documents."""
+    texts = docs.select(F.col(text).alias("t")).where("t is not null")
     beside = stored(_surroundings(texts), "beside")
-    near = beside.where("term is not null").groupBy("entity", "term").agg(
-        F.count_distinct("context").alias("contexts"), F.count_distinct("digest").alias("together")
-    )
+    near = beside.where("term is not null").groupBy("entity", "term").agg(F.count_distinct("context").alias("contexts"), F.sum("n").alias("together"))
     near = stored(near.where(F.col("contexts") >= CONTEXTS), "near")
     counts = _term_counts(texts, _bits_of(near.select("term")))
-    holders = beside.groupBy("entity").agg(F.count_distinct("digest").alias("holders"))
-    total = max(2, texts.select("digest").distinct().count())
+    holders = beside.where("term is null").groupBy("entity").agg(F.sum("n").alias("holders"))
+    total = max(2, texts.count())
     share = F.log(F.col("together") / F.col("texts") * total / F.col("holders")) / F.log(total / F.least("holders", F.lit(total - 1)))
     return near.join(counts, "term").join(holders, "entity").where(share >= DISCLOSURE).select("entity", "term")
 
