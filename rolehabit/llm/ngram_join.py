@@ -11,8 +11,8 @@ The order comes from a table of ``BUCKETS`` counts over all shingles of all text
 size is fixed); as any total order gives the same links, its errors cost time only.
 
 Groups of copies stay cheap.  Texts with equal sets are one node.  Each node is first
-verified against one node only, the smallest that shares most of its prefix with it;
-the rest of a group is then connected and need not be compared within.  After that,
+verified against one node only, the most central that shares most of its prefix with
+it; the rest of a group is then connected and need not be compared within.  After that,
 pairs are made only where a shingle occurs in several components, so no link between
 different texts that could join two of them is lost.
 """
@@ -216,14 +216,18 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     )
     prefixed = stored(prefixes(docs.where(F.col(key).isNotNull()), text, counts), "prefixes")
     tokens = prefixed.select("node", F.col("n").cast("int").alias("n"), "wanted", F.explode("tokens").alias("token"))
-    shared = tokens.groupBy("token").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where("leader <> last").drop("last")
+    shared = tokens.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("many"))
     # from here on only shingles that two sets have
-    lists = stored(tokens.join(shared, "token"), "lists")
+    lists = stored(tokens.join(shared.where("low <> high").drop("low", "high"), "token").distinct(), "lists")
 
+    # a shingle's leader is the set among its own whose whole prefix is shared most: what copies were made from
+    width = F.col("n") - F.ceil(F.lit(PERCENT) * F.col("n") / 100) + F.col("wanted")
+    central = lists.groupBy("node").agg((F.sum("many") / F.first(width)).alias("central"))
+    leaders = lists.join(central, "node").groupBy("token").agg(F.max_by("node", F.struct("central", "node")).alias("leader"))
     stars = (
-        lists.where("node <> leader")
+        lists.join(leaders, "token").where("node <> leader")
         .groupBy(F.col("node").alias("a"), "leader")
-        .agg(F.count_distinct("token").alias("c"), F.max("n").alias("n"))
+        .agg(F.count("*").alias("c"), F.max("n").alias("n"))
         .where(F.col("c") * 4 * 100 >= F.col("n") * (100 - PERCENT))
         .groupBy("a").agg(F.max_by("leader", F.struct("c", "leader")).alias("b"))
     )
@@ -231,8 +235,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     near = stored(near, "near")
     grouped = components(near)
 
-    placed = lists.drop("leader").join(grouped, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    placed = placed.groupBy("token", "node").agg(F.max("n").alias("n"), F.max("wanted").alias("wanted"), F.max("component").alias("component"))
+    placed = lists.drop("many").join(grouped, "node", "left").withColumn("component", F.coalesce("component", "node"))
     placed = stored(placed, "placed")
     split = placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("token")
     placed = placed.join(split, "token", "left_semi")
