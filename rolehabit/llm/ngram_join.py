@@ -20,6 +20,8 @@ different texts that could join two of them is lost.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +36,9 @@ WORDS = 5
 PERCENT = 80
 BUCKETS, SLICES = 1 << 20, 256
 MATCHES = (1, 2, 4, 8, 16, 32)
+#: Classes whose parity is kept of each set, 64 to a column.
+PARITIES = 512
+ODD = [f"odd_{i}" for i in range(PARITIES // 64)]
 #: Sets remembered by a task so as to pass each on once.
 REMEMBERED = 1 << 18
 
@@ -128,8 +133,18 @@ def matches_wanted(excess: np.ndarray, n: int) -> int:
     return wanted
 
 
+def parities(found: np.ndarray) -> bytes:
+    """For each of ``PARITIES`` classes of shingles whether the set has an odd number of them.
+
+    Where two sets differ in a class by parity they differ in a shingle at least, so the
+    number of such classes is a lower bound of the size of their symmetric difference.
+    """
+    odd = np.bincount((found & np.uint64(PARITIES - 1)).astype(np.int64), minlength=PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
 def prefixes(docs: DataFrame, text: str, counts: np.ndarray) -> DataFrame:
-    """(node, n, wanted, tokens): each distinct set's prefix, once per task at most."""
+    """(node, n, wanted, tokens, odd): each distinct set's prefix and parities, once per task at most."""
     rank = np.empty(BUCKETS, np.uint64)
     rank[np.argsort(counts, kind="stable")] = np.arange(BUCKETS, dtype=np.uint64)
     excess = (np.maximum(counts - np.median(counts), 0) + 0.1).astype(np.float32)
@@ -139,7 +154,7 @@ def prefixes(docs: DataFrame, text: str, counts: np.ndarray) -> DataFrame:
         rank, excess = ordering.value
         seen: set[int] = set()
         for batch in rows:
-            nodes, sizes, wanted, tokens = [], [], [], []
+            nodes, sizes, wanted, tokens, odd = [], [], [], [], []
             for value in batch.column(0):
                 found = shingles(value.as_py())
                 n = len(found)
@@ -157,15 +172,16 @@ def prefixes(docs: DataFrame, text: str, counts: np.ndarray) -> DataFrame:
                 sizes.append(n)
                 wanted.append(m)
                 tokens.append(found[order[: n - need + m]].view(np.int64))
+                odd.append(np.frombuffer(parities(found), np.int64))
             flat = np.concatenate(tokens) if tokens else np.empty(0, np.int64)
             offsets = np.concatenate(([0], np.cumsum([len(t) for t in tokens]))).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(wanted, pa.int32()),
-                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
-                ["node", "n", "wanted", "tokens"],
+                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), *(pa.array([o[i] for o in odd], pa.int64()) for i in range(len(ODD)))],
+                ["node", "n", "wanted", "tokens", *ODD],
             )
 
-    return map_batches(docs.select(text), batches, "node long, n long, wanted int, tokens array<long>")
+    return map_batches(docs.select(text), batches, f"node long, n long, wanted int, tokens array<long>, {', '.join(f'{c} long' for c in ODD)}")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, key: str, text: str) -> DataFrame:
@@ -235,15 +251,18 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     near = stored(near, "near")
     grouped = components(near)
 
-    placed = lists.drop("many").join(grouped, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    placed = stored(placed, "placed")
+    known = prefixed.select("node", *ODD).distinct().join(grouped, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    placed = stored(lists.drop("many").join(known, "node"), "placed")
     split = placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("token")
     placed = placed.join(split, "token", "left_semi")
-    other = placed.select("token", *(F.col(c).alias(f"{c}_2") for c in ("node", "n", "wanted", "component")))
+    other = placed.select("token", *(F.col(c).alias(f"{c}_2") for c in ("node", "n", "wanted", "component", *ODD)))
+    # linked sets differ in at most a ninth of their sizes' sum: s shared of a + b - s are 80 % from s = 4 (a + b) / 9 on
+    differ = reduce(add, (F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}_2"))) for c in ODD))
     pairs = (
         placed.join(other, "token")
         .where("node < node_2 and component <> component_2")
         .where(f"100 * least(n, n_2) >= {PERCENT} * greatest(n, n_2)")
+        .where(differ * (100 + PERCENT) <= (F.col("n") + F.col("n_2")) * (100 - PERCENT))
         .groupBy(F.col("node").alias("a"), F.col("node_2").alias("b"))
         .agg(F.count("*").alias("c"), F.max(F.least("wanted", "wanted_2")).alias("w"))
         .where("c >= w")
