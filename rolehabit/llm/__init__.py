@@ -1,6 +1,6 @@
 """Operators for preparing training data, and the queries that apply them."""
 
-from rolehabit.llm import main_text, mixing, near_vectors, ngram_join, pii, quality, segmentation, token_counts  # noqa: F401
+from rolehabit.llm import forest, main_text, mixing, near_vectors, ngram_join, pii, quality, segmentation, token_counts  # noqa: F401
 from rolehabit.llm.common import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
