@@ -10,8 +10,8 @@ from), and the best entry is completed and split at each later place.  Every bou
 attained, so the first path completed is the next in order.
 
 No piece crosses from a word's end into white space, so a lattice is a chain of words.
-Lattices of words are kept between texts, completion samples all words of many texts at
-once, and an entry that leaves a path at a word stands for all other segmentations of
+The lattices of all words of a group of texts are made together, completion samples all
+words of the group at once, and an entry that leaves a path at a word stands for all other segmentations of
 that word.
 
 The model file holds a merge order instead of probabilities; a piece of rank r gets the
@@ -42,8 +42,8 @@ from rolehabit.llm.common import map_batches, query, table
 SAMPLES = 2
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
-#: Characters of texts worked on together, and edges kept from one group to the next.
-GROUP_CHARS, KEPT_EDGES = 200_000, 4_000_000
+#: Characters of texts worked on together.
+GROUP_CHARS = 300_000
 _WORD = re.compile("▁+[^▁\n]*|\n|[^▁\n]+")
 
 
@@ -73,6 +73,21 @@ class Pieces:
                 self.known.setdefault(piece[:k])
         self.known |= {piece: (i, 1 / (r + 2.7) / scale) for piece, (i, r) in ranks.items()}
         self.unknown = min(v[1] for v in self.known.values() if v) * math.exp(-10)
+        # the same by hash
+        hashed = sorted((_hash(k), *(v or (-1, 1.0))) for k, v in self.known.items())
+        self.hashes = np.array([h for h, _, _ in hashed], np.uint64)
+        self.ids = np.array([i for _, i, _ in hashed], np.int64)
+        self.logs = np.log([p for _, _, p in hashed])
+
+
+_BASE = 0x9E3779B97F4A7C15
+
+
+def _hash(beginning: str) -> int:
+    value = 0
+    for c in beginning:
+        value = (value * _BASE + ord(c) + 1) & (1 << 64) - 1
+    return value
 
 
 @cache
@@ -92,99 +107,80 @@ def decode(ids, vocabulary: Pieces | None = None) -> str:
 
 
 class Lattices:
-    """The lattices of words, in flat arrays.
+    """The lattices of some words, in flat arrays.
 
     A node is a place in a word: ``first`` names its first edge, ``paths`` the number of
     ways to the word's end.  An edge has a piece (or -1 - a character to write in bytes),
     the node it leads to (-1 at the end), its log share of its node's paths, and the sum
-    of shares up to it.
+    of shares up to it.  ``starts`` has the first node of each word.
     """
 
-    def __init__(self, vocabulary: Pieces):
+    def __init__(self, vocabulary: Pieces, words: list[str]):
         self.vocabulary = vocabulary
-        self.clear()
-
-    def clear(self):
-        self.nodes: dict[str, int] = {}
-        self._new: list[list] = [[], [], [], [], [], []]
-        self.first, self.paths = np.empty(0, np.int64), np.empty(0)
-        self.piece, self.to = np.empty(0, np.int64), np.empty(0, np.int64)
-        self.log, self.upto = np.empty(0), np.empty(0)
-
-    def _add(self, word: str) -> int:
-        """Sums of likelihoods from the word's end; each place is scaled so as to stay near 1."""
-        known, size = self.vocabulary.known, len(word)
-        first, paths, piece, to, share, upto = self._new
-        base = len(self.first) + len(first)
-        ahead, ways, scale = [1.0] * (size + 1), [1.0] * (size + 1), [0] * (size + 1)
-        edges: list[tuple] = [()] * size
-        for a in range(size - 1, -1, -1):
-            ends, ids, weights, total, count = [], [], [], 0.0, 0.0
-            level = scale[a + 1]
-            for b in range(a + 1, size + 1):
-                entry = known.get(word[a:b], 0)
-                if entry:
-                    i, weight = entry
-                elif entry is None:
-                    if b > a + 1:
-                        continue
-                    i, weight = self._bytes(word[a])
-                elif b == a + 1:
-                    i, weight = self._bytes(word[a])
-                else:
-                    break
-                weight *= ahead[b]
-                if scale[b] != level:
-                    weight *= 2.0 ** (scale[b] - level)
-                ends.append(b)
-                ids.append(i)
-                weights.append(weight)
-                total += weight
-                count += ways[b]
-                if entry == 0:
-                    break
-            edges[a] = (ends, ids, weights, total)
-            ways[a] = min(count, 1e300)
-            if total < 1e-100:
-                total *= 2.0**300
-                level -= 300
-            ahead[a], scale[a] = total, level
-        edge = len(self.piece) + len(piece)
-        for a in range(size):
-            ends, ids, weights, total = edges[a]
-            first.append(edge)
-            sum_ = 0.0
-            for b, w in zip(ends, weights, strict=True):
-                w /= total
-                sum_ += w
-                share.append(w)
-                upto.append(sum_)
-                to.append(base + b if b < size else -1)
-            upto[-1] = 2.0  # whatever rounding does, the last edge takes the rest
-            piece += ids
-            edge += len(ids)
-        paths += ways[:size]
-        self.nodes[word] = base
-        return base
-
-    def _bytes(self, character: str) -> tuple[int, float]:
-        raw = character.encode()
-        return (self.vocabulary.byte_ids[raw[0]] if len(raw) == 1 else -1 - ord(character)), self.vocabulary.unknown
-
-    def starts(self, words: list[str]) -> np.ndarray:
-        nodes = self.nodes
-        return np.array([nodes[w] if w in nodes else self._add(w) for w in words], np.int64)
-
-    def settle(self):
-        """Put the words added since last time into the arrays."""
-        for name, new in zip(("first", "paths", "piece", "to", "log", "upto"), self._new, strict=True):
-            old = getattr(self, name)
-            added = np.array(new, old.dtype)
-            if name == "log":
-                # a share that underflows is as good as impossible
-                added = np.log(np.maximum(added, 1e-300))
-            setattr(self, name, np.concatenate((old, added)))
-        self._new = [[], [], [], [], [], []]
+        text = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.int64)
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        self.starts = np.cumsum(sizes) - sizes
+        end = np.repeat(self.starts + sizes, sizes)
+        source, length, piece, log = self._edges(text, end)
+        target = source + length
+        ends = target == end[source]
+        self.first = np.searchsorted(source, np.arange(len(text)))
+        self.paths, log = self._shares(source, target, ends, log, end - np.arange(len(text)))
+        self.piece, self.log = piece, log
+        self.to = np.where(ends, -1, target)
+        share = np.exp(log)
+        total = np.cumsum(share)
+        self.upto = total - (total - share)[self.first[source]] if len(text) else total
+        # whatever rounding does, a node's last edge takes the rest
+        self.upto[np.append(self.first, len(source))[1:] - 1] = 2.0
+
+    def _edges(self, text: np.ndarray, end: np.ndarray):
+        """All pieces at all places, by place and length; a character that is none becomes bytes."""
+        held = self.vocabulary
+        at, value, length = np.arange(len(text)), np.zeros(len(text), np.uint64), 0
+        single = np.zeros(len(text), bool)
+        found = []
+        while len(at):
+            value = value * np.uint64(_BASE) + (text[at + length] + 1).astype(np.uint64)
+            length += 1
+            k = np.minimum(np.searchsorted(held.hashes, value), len(held.hashes) - 1)
+            known = held.hashes[k] == value
+            at, value, k = at[known], value[known], k[known]
+            whole = held.ids[k] >= 0
+            found.append((at[whole], np.full(whole.sum(), length), held.ids[k[whole]], held.logs[k[whole]]))
+            if length == 1:
+                single[at[whole]] = True
+            on = at + length < end[at]
+            at, value = at[on], value[on]
+        other = np.flatnonzero(~single)
+        codes = text[other]
+        bytes_ = np.where(codes < 128, np.array(held.byte_ids)[np.minimum(codes, 127)], -1 - codes)
+        found.append((other, np.ones(len(other), np.int64), bytes_, np.full(len(other), math.log(held.unknown))))
+        source, lengths, piece, log = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.argsort(source * 64 + lengths)
+        return source[order], lengths[order], piece[order], log[order]
+
+    @staticmethod
+    def _shares(source, target, ends, log, left):
+        """Sums over all ways to the ends of words, all places at one distance from them at once."""
+        ahead, paths = np.zeros(len(left)), np.ones(len(left))
+        distance = left[source]
+        order = np.argsort(distance, kind="stable")
+        bounds = np.searchsorted(distance[order], np.arange(1, distance.max(initial=0) + 2))
+        share = np.empty(len(source))
+        for low, high in zip(bounds, bounds[1:], strict=False):
+            edges = order[low:high]
+            nodes, to, last = source[edges], target[edges], ends[edges]
+            heads = np.flatnonzero(np.concatenate(([True], nodes[1:] != nodes[:-1])))
+            to = np.where(last, 0, to)
+            value = log[edges] + np.where(last, 0.0, ahead[to])
+            most = np.maximum.reduceat(value, heads)
+            counts = np.diff(np.append(heads, len(nodes)))
+            total = most + np.log(np.add.reduceat(np.exp(value - np.repeat(most, counts)), heads))
+            ahead[nodes[heads]] = total
+            paths[nodes[heads]] = np.minimum(np.add.reduceat(np.where(last, 1.0, paths[to]), heads), 1e300)
+            share[edges] = value - np.repeat(total, counts)
+        return paths, share
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -277,17 +273,17 @@ def _bounds(masses: np.ndarray, top: float, seeds: np.ndarray, which: int) -> np
         return -np.logaddexp(-top, np.log(-np.log(_uniform(seeds, which))) - masses)
 
 
-def sample(texts: list[tuple[int, str]], lattices: Lattices, samples: int = SAMPLES) -> list[list[tuple[np.ndarray, float, float, float]]]:
+def sample(texts: list[tuple[int, str]], vocabulary: Pieces, samples: int = SAMPLES) -> list[list[tuple[np.ndarray, float, float, float]]]:
     """For each (seed, text) its samples in order: ids, log probability, perturbed value, inclusion score.
 
     The inclusion score is the chance of a segmentation to be among the samples given the
     first perturbed value that is not; all of them are there, and score 1, if a text has
     no more than ``samples`` segmentations.
     """
-    if len(lattices.piece) > KEPT_EDGES:
-        lattices.clear()
-    chains = [lattices.starts(words_of(text)) for _, text in texts]
-    lattices.settle()
+    index: dict[str, int] = {}
+    chains = [np.array([index.setdefault(w, len(index)) for w in words_of(text)], np.int64) for _, text in texts]
+    lattices = Lattices(vocabulary, list(index))
+    chains = [lattices.starts[c] for c in chains]
     spots = [_mixed(np.arange(len(c), dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(seed & (1 << 64) - 1)) for (seed, _), c in zip(texts, chains, strict=True)]
     paths: list[list[Path]] = [[] for _ in texts]
     nothing = np.empty(0, np.int64)
@@ -362,11 +358,6 @@ def _ids(chosen: np.ndarray, vocabulary: Pieces) -> np.ndarray:
     return np.array([x for i in chosen.tolist() for x in ([i] if i >= 0 else [vocabulary.byte_ids[b] for b in chr(-1 - i).encode()])], np.int64)
 
 
-@cache
-def _lattices() -> Lattices:
-    return Lattices(pieces())  # one of each Python worker
-
-
 def _seed(key) -> int:
     return xxhash.xxh3_64_intdigest(repr(key))
 
@@ -394,7 +385,7 @@ def segmentations(docs: DataFrame, key: str = "doc_id", text: str = "text", samp
         for batch in rows:
             keys, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
             for part in grouped(keys, texts):
-                found = sample([(_seed(k), t) for k, t in zip(keys[part], texts[part], strict=True)], _lattices(), samples)
+                found = sample([(_seed(k), t) for k, t in zip(keys[part], texts[part], strict=True)], pieces(), samples)
                 counts = [len(f) for f in found]
                 flat = [s for f in found for s in f]
                 if not flat:

@@ -36,8 +36,7 @@ def enumerated(text):
 
 
 def drawn(text, count, samples):
-    lattices = seg.Lattices(VOCABULARY)
-    return seg.sample([(seg._seed(i), text) for i in range(count)], lattices, samples)
+    return seg.sample([(seg._seed(i), text) for i in range(count)], VOCABULARY, samples)
 
 
 @pytest.mark.parametrize("text", ["the in", "a\nb  c", "Ç漢the"])
@@ -87,10 +86,9 @@ def test_round_trip(text):
 
 def test_samples_depend_on_the_key_alone():
     texts = [(seg._seed(i), f"some text {i} and more") for i in range(9)]
-    together = seg.sample(texts, seg.Lattices(VOCABULARY), 3)
-    lattices = seg.Lattices(VOCABULARY)
+    together = seg.sample(texts, VOCABULARY, 3)
     for one, whole in zip(texts[::-1], together[::-1], strict=True):
-        alone = seg.sample([one], lattices, 3)[0]
+        alone = seg.sample([one], VOCABULARY, 3)[0]
         assert [x[0].tolist() for x in alone] == [x[0].tolist() for x in whole]
         assert [x[2] for x in alone] == pytest.approx([x[2] for x in whole])
 
