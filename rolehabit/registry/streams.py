@@ -61,6 +61,7 @@ def stream_alerts(spark, sf_dir):
         jobs.until_caught_up(),
         DAY,
         SETTINGS,
+        by_tick=True,
     ).awaitTermination()
     written = spark.read.schema("value string").text(f"{root}/out/alerts")
     alerts = parsed_alerts(written.select(F.col("value")))

@@ -76,10 +76,15 @@ def read_files_below(spark: SparkSession, folder: str) -> DataFrame:
     return reader.json(folder).withColumn("file", _file_name())
 
 
-def stream_audit_files(spark: SparkSession, base: str, files_per_trigger: int = 10_000):
-    """The same rows from a stream that picks each file up once, late ones included."""
+def stream_audit_files(spark: SparkSession, base: str, files_per_trigger: int | None = None):
+    """The same rows from a stream that picks each file up once, late ones included.
+
+    A micro-batch takes all files that wait, unless a number is given.
+    """
     pattern = f"{base.rstrip('/')}/*/CloudTrail/*/*/*/*"
-    reader = _json_files(spark.readStream).option("maxFilesPerTrigger", files_per_trigger)
+    reader = _json_files(spark.readStream)
+    if files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.json(pattern).withColumn("file", _file_name())
 
 
@@ -103,18 +108,33 @@ def flatten(files: DataFrame) -> DataFrame:
     What cannot be read is a row too, with a ``reason`` and the ``content`` at
     fault, so that files are parsed once for the table and the quarantine.
     """
-    records = files.where(F.col("Records").isNull() | (F.size("Records") > 0)).select(
+    whole = files.schema["Records"].dataType.elementType
+    text = F.lit(None).cast("string")
+    good = F.transform(
+        F.coalesce("Records", F.array().cast(T.ArrayType(whole))),
+        lambda record: F.struct(record.alias("record"), text.alias("_text"), text.alias("_file")),
+    )
+    # a record of which a part did not fit leaves the rest of its file readable
+    fault = F.struct(
+        F.lit(None).cast(whole).alias("record"),
+        F.coalesce(F.col(CORRUPT), F.lit("")).alias("_text"),
+        F.col("file").alias("_file"),
+    )
+    faulty = F.col("Records").isNull() | F.col(CORRUPT).isNotNull()
+    rows = F.when(faulty, F.concat(good, F.array(fault))).otherwise(good)
+    records = files.select(
         *[
             F.regexp_extract("file", _LAYOUT, place).alias(name)
             for place, name in enumerate(_PATH_PARTS, 1)
         ],
-        F.when(F.col("Records").isNull(), F.coalesce(F.col(CORRUPT), F.lit(""))).alias("_text"),
-        F.when(F.col("Records").isNull(), F.col("file")).alias("_file"),
-        F.inline_outer("Records"),
-    )
+        F.col("Records").isNull().alias("_nothing"),
+        F.inline(rows),
+    ).select("*", "record.*")
     event_ts = F.try_to_timestamp("eventTime")
-    reason = F.when(F.col("_text").isNotNull(), "unreadable file").when(
-        event_ts.isNull(), "unreadable time"
+    reason = (
+        F.when(F.col("_text").isNotNull() & F.col("_nothing"), "unreadable file")
+        .when(F.col("_text").isNotNull(), "half-read record")
+        .when(event_ts.isNull(), "unreadable time")
     )
     return records.select(
         *[F.col(JSON_KEYS.get(name, name)).alias(name) for name in AUDIT_RECORD.names],

@@ -36,17 +36,21 @@ def until_caught_up() -> dict:
     return {"availableNow": True}
 
 
-def role_action_stream(calls: DataFrame, roles: DataFrame, period: int = HOUR) -> DataFrame:
+def role_action_stream(
+    calls: DataFrame, roles: DataFrame, period: int = HOUR, settings: Settings = Settings()
+) -> DataFrame:
     """Actions of known roles, repeats dropped per partition: a streaming
     ``distinct`` would keep state of its own, and the stateful step does the rest."""
-    rows = activity.role_action_rows(activity.on_ticks(calls, period))
+    rows = activity.role_action_rows(activity.on_ticks(activity.in_scope(calls, settings), period))
     return activity.of_known_roles(rows.mapInArrow(without_repeats, rows.schema), roles)
 
 
-def start_ingest(files: DataFrame, table: str, checkpoint: str, trigger: dict) -> StreamingQuery:
+def start_ingest(
+    files: DataFrame, table: str, checkpoint: str, trigger: dict, settings: Settings = Settings()
+) -> StreamingQuery:
     """Audit files to audit table, each file exactly once."""
     return (
-        audit.by_readability(audit.flatten(files))
+        audit.by_readability(activity.in_scope(audit.flatten(files), settings))
         .writeStream.format("parquet")
         .option("path", table)
         .option("checkpointLocation", checkpoint)
@@ -71,7 +75,7 @@ def start_new_actions(
     over from the snapshots of ``seed``, if given."""
     baseline = seed and seed.load(bucketed=False)
     stream = new_actions(
-        role_action_stream(calls, roles, period), settings, evict, baseline
+        role_action_stream(calls, roles, period, settings), settings, evict, baseline
     )
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -91,19 +95,27 @@ def start_alerts(
     settings: Settings = Settings(),
     evict: bool = False,
     seed: BaselineStore | None = None,
+    by_tick: bool = False,
 ) -> StreamingQuery:
-    """Alerts to JSON lines: new actions of a micro-batch are grouped by role and
-    tick.  They are written first and read back, so that the state is updated
-    once however often they are used.  A repeated batch replaces its folders."""
+    """Alerts to JSON lines: new actions of a micro-batch are grouped by role, as
+    of its last tick, wherever the hour's edge falls.  They are written first and
+    read back, so that the state is updated once however often they are used.  A
+    repeated batch replaces its folders.
+
+    ``by_tick`` keeps ticks apart, for history replayed in large micro-batches.
+    """
     accounts = selected_accounts(accounts, settings)
     roles = roles_in_scope(roles, accounts)
     baseline = seed and seed.load(bucketed=False)
     stream = new_actions(
-        role_action_stream(calls, roles, period), settings, evict, baseline
+        role_action_stream(calls, roles, period, settings), settings, evict, baseline
     )
 
     def write(batch: DataFrame, batch_id: int) -> None:
         new = written(batch, f"{output}/new_actions/batch={batch_id}")
+        if not by_tick:
+            last = new.agg(F.max("tick")).first()[0]
+            new = new.select("role_id", "action").distinct().withColumn("tick", F.lit(last).cast("bigint"))
         concerned = alerts.roles_with_news(roles, new)
         records = alerts.alert_records(alerts.judged(new, concerned, settings), accounts)
         lines = alert_lines(records, F.timestamp_seconds("tick"), settings)

@@ -89,3 +89,31 @@ def test_combiner_flushes_and_keeps_every_key(monkeypatch):
     rows = [tuple(row.values()) for b in without_repeats(iter(batches)) for row in b.to_pylist()]
     assert set(rows) == {("r", "x", 1), ("s", "x", 1), ("t", "x", 2), ("u", "x", 1)}
     assert len(rows) == 5  # the three held rows went out before the last batch
+
+
+def run_alerts(spark, tmp_path, batches, name, **options):
+    """Alerts of calls given file by file: (severity, number of actions)."""
+    source = tmp_path / name
+    for n, rows in enumerate(batches):
+        calls(spark, rows).coalesce(1).write.parquet(f"{source}/{n}")
+    reader = spark.readStream.schema(CALL)
+    for key, value in options.items():
+        reader = reader.option(key, value)
+    jobs.start_alerts(
+        reader.parquet(f"{source}/*"),
+        roles(spark, role("R1")),
+        accounts(spark),
+        f"{tmp_path}/{name}-out",
+        f"{tmp_path}/{name}-checkpoint",
+        jobs.until_caught_up(),
+        settings=Settings(role_grace=0),
+    ).awaitTermination()
+    events = [json.loads(json.loads(r.value)["event"]) for r in spark.read.text(f"{tmp_path}/{name}-out/alerts").collect()]
+    return [(e["severity"], len(e["role_actions"])) for e in events]
+
+
+def test_alerts_do_not_depend_on_files_or_the_hours_edge(spark, tmp_path):
+    early, late = [(3590, "R1", a) for a in "abc"], [(3595, "R1", a) for a in "def"]
+    assert run_alerts(spark, tmp_path, [early, late], "files") == [("High", 6)]
+    edge = [(3600, "R1", a) for a in "def"]
+    assert run_alerts(spark, tmp_path, [early + edge], "edge") == [("High", 6)]
