@@ -6,7 +6,7 @@
 from __future__ import annotations
 
 import argparse
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,8 +17,8 @@ from rolehabit.plans.ingest import ingest_days
 from rolehabit.plans.replay import replay_alerts, warm_up
 from rolehabit.plans.tick import roles_in_scope, run_tick
 from rolehabit.session import build_session
-from rolehabit.settings import REGIONS, Settings
-from rolehabit.sinks.emission import alert_lines, write_lines
+from rolehabit.settings import HOUR, REGIONS, Settings
+from rolehabit.sinks.emission import alert_lines, error_lines, write_lines
 from rolehabit.sinks.tables import written
 from rolehabit.sources import audit, inventory
 from rolehabit.sources.baseline import BaselineStore
@@ -46,6 +46,8 @@ def parser() -> argparse.ArgumentParser:
         for option in ("accounts", "roles", "actions", "services"):
             verb = "skip" if option == "accounts" else "ignore"
             command.add_argument(f"--{verb}-{option}", nargs="*", default=[])
+        if name.startswith("stream"):
+            command.add_argument("--files-per-trigger", type=int, default=None, help="all if left out")
         command.add_argument("--once", action="store_true", help="end a stream when caught up")
         command.add_argument("--today-only", action="store_true")
         command.add_argument("--owner-as-list", action="store_true")
@@ -91,7 +93,11 @@ def inventories(spark: SparkSession, options, settings) -> tuple[DataFrame, Data
         "business", F.lit(options.business)
     )
     accounts = written(inventory.selected_accounts(accounts, settings), f"{folder}/accounts")
-    roles = roles_in_scope(inventory.read_roles(spark, options.roles), accounts)
+    found = inventory.read_roles(spark, options.roles)
+    # roles nothing can be learned of are reported, not passed over in silence
+    faults = error_lines(inventory.roles_without_principal(found), F.current_timestamp(), settings)
+    write_lines(faults, f"{folder}/errors")
+    roles = roles_in_scope(found, accounts)
     return written(roles, f"{folder}/roles"), accounts
 
 
@@ -107,13 +113,16 @@ def main(arguments: list[str] | None = None) -> None:
         return
     trigger = jobs.until_caught_up() if options.once else jobs.hourly()
     if options.job == "stream-ingest":
-        files = audit.stream_audit_files(spark, options.logs)
-        jobs.start_ingest(files, options.table, options.checkpoint, trigger).awaitTermination()
+        files = audit.stream_audit_files(spark, options.logs, options.files_per_trigger)
+        jobs.start_ingest(
+            files, options.table, options.checkpoint, trigger, settings
+        ).awaitTermination()
         return
 
     roles, accounts = inventories(spark, options, settings)
     if options.job == "stream-alerts":
-        records = audit.readable(audit.flatten(audit.stream_audit_files(spark, options.logs)))
+        files = audit.stream_audit_files(spark, options.logs, options.files_per_trigger)
+        records = audit.readable(audit.flatten(files))
         seed = BaselineStore(spark, options.baseline) if options.baseline else None
         jobs.start_alerts(
             calls_of(records),
@@ -127,7 +136,14 @@ def main(arguments: list[str] | None = None) -> None:
             seed=seed,
         ).awaitTermination()
         return
-    days = audit.spanned_days(run_ts, settings) if options.job == "tick" else None
+    days = None
+    if options.job == "tick":
+        days = audit.spanned_days(run_ts, settings)
+    elif options.job == "warm-up":
+        # a file's date may be a day off that of its records
+        first = as_utc(run_ts) - timedelta(seconds=settings.ttl + HOUR)
+        count = (as_utc(run_ts).date() - first.date()).days
+        days = [first.date() + timedelta(days=n) for n in range(-1, count + 2)]
     calls = calls_of(audit.read_audit_table(spark, options.table, days))
     if options.job == "replay":
         found = replay_alerts(calls, roles, accounts, settings=settings)

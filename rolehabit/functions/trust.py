@@ -39,9 +39,11 @@ def classify(roles: DataFrame, settings: Settings = Settings()) -> DataFrame:
     federated = F.col("Federated")
     listed = F.try_variant_get(federated, "$", "array<string>")
     # a list must hold the token as an element, a text only contain it
-    trusted = F.when(
-        listed.isNotNull(), F.array_contains(listed, settings.idp_token)
-    ).otherwise(federated.cast("string").contains(settings.idp_token))
+    trusted = F.lit(False)
+    if settings.idp_token is not None:
+        trusted = F.when(
+            listed.isNotNull(), F.array_contains(listed, settings.idp_token)
+        ).otherwise(federated.cast("string").contains(settings.idp_token))
 
     def by_kind(service: Column, federated: Column, aws: Column, other: Column) -> Column:
         return (

@@ -30,6 +30,13 @@ def calls_of(records: DataFrame) -> DataFrame:
     )
 
 
+def in_scope(calls: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """Calls of the regions wanted; the same for ticks, replay, warm-up and streams."""
+    if settings.regions and "region" in calls.columns:
+        return calls.where(F.col("region").isin(*settings.regions))
+    return calls
+
+
 def on_run_dates(calls: DataFrame, run_ts: datetime, settings: Settings) -> DataFrame:
     """Partition filter: the dates and hours the window spans."""
     first = as_utc(run_ts) - timedelta(seconds=settings.window)
@@ -70,9 +77,7 @@ def trailing_window(
         kept = kept.where(event_ts < moment(run_ts, dtype))
     elif settings.today_only:
         kept = kept.where(event_ts < moment(midnight + timedelta(days=1), dtype))
-    if settings.regions and "region" in calls.columns:
-        kept = kept.where(F.col("region").isin(*settings.regions))
-    return kept
+    return in_scope(kept, settings)
 
 
 def at_tick(calls: DataFrame, run_ts: datetime) -> DataFrame:

@@ -57,8 +57,8 @@ def run_tick(
     calls given, for micro-batches, which hold each call once.
     """
     run_epoch = epoch_of(run_ts)
-    if from_version is None and store.latest_run() == run_epoch:
-        return TickResult(store.latest(), run_folder(output, "alerts", run_epoch), {})
+    if from_version is None and run_epoch in store.runs():
+        return TickResult(store.runs()[run_epoch], run_folder(output, "alerts", run_epoch), {})
     version = store.latest() if from_version is None else from_version
     baseline = store.load(version)
     accounts = selected_accounts(accounts, settings)

@@ -30,7 +30,6 @@ CROSS_ACCOUNT_MESSAGE = (
     "This is a role from another account. Someone or thing requested temporary "
     "access keys to this account and made API calls."
 )
-IDP_TOKEN = "OKTA, OneLogin, PingFed, ETC."
 
 SERVICE_LINKED_SEGMENT = "aws-service-role"
 
@@ -77,8 +76,8 @@ class Settings:
     downgrade_below: int = 5
     """Fewer new actions than this make an alert Informational."""
 
-    idp_token: str = IDP_TOKEN
-    """Marks the trusted identity provider in a federated principal."""
+    idp_token: str | None = None
+    """Marks the trusted identity provider in a federated principal; none is trusted without it."""
 
     ignored_roles: tuple[str, ...] = ()
     ignored_actions: tuple[str, ...] = ()
@@ -102,3 +101,7 @@ class Settings:
 
     index: str = "main"
     """Destination index named in the envelope."""
+
+    def __post_init__(self):
+        if self.idp_token == "":
+            raise ValueError("an empty identity provider token would trust every text")

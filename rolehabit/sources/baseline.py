@@ -53,10 +53,11 @@ class BaselineStore:
         """The newest published version; 0 stands for the empty baseline."""
         return max(self._published(), default=0)
 
-    def latest_run(self) -> int | None:
-        """The run (its epoch second) that published the newest version."""
-        published = self._published()
-        return published[max(published)][1] if published else None
+    def runs(self) -> dict[int, int]:
+        """Every run (its epoch second) that has published, and its version, expired ones too."""
+        gone = [name.split("-") for name in names_in(self.spark, f"{self.root}/expired")]
+        runs = {int(run): int(version) for version, run in (n for n in gone if len(n) == 2)}
+        return runs | {run: version for version, (_, run) in self._published().items()}
 
     def _folder(self, version: int) -> str:
         return f"{self.root}/snapshots/v{version:08d}"
@@ -100,6 +101,9 @@ class BaselineStore:
         """Delete all but the newest ``keep`` versions."""
         published = self._published()
         for version in sorted(published)[: max(len(published) - keep, 0)]:
+            gone = f"{version:08d}-{published[version][1]}"
+            if gone not in names_in(self.spark, f"{self.root}/expired"):
+                create_marker(self.spark, f"{self.root}/expired/{gone}")
             remove(self.spark, self._marker(version, *published[version]))
             self.spark.sql(f"DROP TABLE IF EXISTS {self._table(version)}")
             remove(self.spark, self._folder(version))

@@ -60,7 +60,7 @@ def test_store_versions(spark, tmp_path, stored):
         store.write(stored, version)
         store.publish(version, NOW + version)
     store.expire(keep=2)
-    assert store.versions() == [3, 4] and store.latest_run() == NOW + 4
+    assert store.versions() == [3, 4] and store.runs() == {NOW: 1, **{NOW + i: i for i in (2, 3, 4)}}
     again = BaselineStore(spark, root, buckets=99)
     assert again.buckets == 3 and again.load().count() == 3
     spark.sql(f"DROP TABLE {again._table(4)}")  # as in a session that did not write it

@@ -221,3 +221,45 @@ def test_quiet_hours(spark, inventory, tmp_path):
         )
         found.append((result.counters["new_actions"], store.load().count()))
     assert found == [(1, 1), (0, 1), (0, 0), (1, 1)]
+
+
+def test_late_retry_of_an_older_run_changes_nothing(spark, history, inventory, tmp_path):
+    store, out, frame = BaselineStore(spark, str(tmp_path / "store")), str(tmp_path / "out"), calls(spark, history)
+    runs = [at(n * PERIOD) for n in (1, 2, 3)]
+    first, *_ = [run_tick(frame, inventory, accounts(spark), store, out, t, SETTINGS) for t in runs]
+    sent = events_in(spark, first.alerts_folder)
+    assert sent
+    store.expire(keep=1)
+    late = run_tick(frame, inventory, accounts(spark), store, out, runs[0], SETTINGS)
+    assert late.version == 1 and store.versions() == [3]
+    assert events_in(spark, late.alerts_folder) == sent
+
+
+def test_warm_up_refuses_a_filled_store(spark, history, inventory, tmp_path):
+    store = BaselineStore(spark, str(tmp_path / "store"))
+    warm_up(calls(spark, history), inventory, store, at(3 * PERIOD), PERIOD, SETTINGS)
+    with pytest.raises(ValueError, match="already holds"):
+        warm_up(calls(spark, history), inventory, store, at(PERIOD), PERIOD, SETTINGS)
+
+
+def test_all_modes_keep_to_the_regions(spark, history, inventory, tmp_path):
+    from dataclasses import replace
+
+    from pyspark.sql import functions as F
+
+    inside = replace(SETTINGS, regions=("us-east-1",))
+    frame = calls(spark, history).withColumn("region", F.when(F.col("event_name") < "d", "us-east-1").otherwise("xx"))
+    only = frame.where("region = 'us-east-1'")
+    wanted = triples(replay(only, inventory, PERIOD, SETTINGS))
+    assert wanted and triples(replay(frame, inventory, PERIOD, inside)) == wanted
+    one, two = (BaselineStore(spark, str(tmp_path / n)) for n in "ab")
+    warm_up(frame, inventory, one, at(3 * PERIOD), PERIOD, inside)
+    warm_up(only, inventory, two, at(3 * PERIOD), PERIOD, SETTINGS)
+    assert triples_of_state(one.load()) == triples_of_state(two.load())
+    folder = str(tmp_path / "in")
+    frame.coalesce(1).write.parquet(folder)
+    jobs.start_new_actions(
+        spark.readStream.schema(frame.schema).parquet(folder), inventory, str(tmp_path / "new"),
+        str(tmp_path / "checkpoint"), jobs.until_caught_up(), PERIOD, inside,
+    ).awaitTermination()
+    assert triples(spark.read.parquet(str(tmp_path / "new"))) == wanted

@@ -133,3 +133,13 @@ def test_table_scan_is_pruned(spark, files, tmp_path):
     assert "requestParameters" not in read and "attributes" not in read
     assert "sessionIssuer:struct<principalId:string>" in read
     assert audit.read_audit_table(spark, table, [date(2023, 1, 1)]).count() == 0
+
+
+def test_half_read_record_is_quarantined_and_the_rest_kept(spark, tmp_path):
+    odd = {**SECOND, "userIdentity": "root", "eventID": "ev-odd"}
+    put_audit_file(tmp_path, [FIRST, odd])
+    rows = flat(spark, tmp_path).collect()
+    assert [r.reason for r in rows].count("half-read record") == 1
+    assert {r.eventName for r in rows if r.reason is None} >= {"GetObject"}
+    (fault,) = [r for r in rows if r.reason]
+    assert "ev-odd" in fault.content and fault.origin.endswith("x.json")
