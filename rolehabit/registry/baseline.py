@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import uuid
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from rolehabit.functions.moments import epoch_of, seconds_of
+from rolehabit.functions.moments import epoch_of, moment, seconds_of
 from rolehabit.operators import novelty
 from rolehabit.plans import replay as history
 from rolehabit.plans.tick import roles_in_scope
@@ -41,11 +41,21 @@ def daily_occurrences(spark, sf_dir):
     return history.occurrences(fx_calls(spark, sf_dir), fx_roles(spark, sf_dir), DAY)
 
 
+def occurrences_between(spark, sf_dir, first: datetime, last: datetime):
+    """Daily occurrences of the calls from first to last; the scan reads no others."""
+    calls = fx_calls(spark, sf_dir)
+    dtype = calls.schema["event_ts"].dataType.simpleString()
+    event_ts = F.col("event_ts")
+    calls = calls.where((event_ts >= moment(first, dtype)) & (event_ts < moment(last, dtype)))
+    return history.occurrences(calls, fx_roles(spark, sf_dir), DAY)
+
+
 def before_and_seen(spark, sf_dir):
     """The baseline left by the runs up to BEFORE, and what the run at RUN sees."""
-    occurrences = daily_occurrences(spark, sf_dir)
-    stored = novelty.baseline_as_of(occurrences, epoch_of(BEFORE), WEEKLY.ttl)
-    return stored, occurrences.where(F.col("tick") == epoch_of(RUN))
+    day = timedelta(seconds=DAY)
+    past = occurrences_between(spark, sf_dir, BEFORE - timedelta(seconds=WEEKLY.ttl) - day, BEFORE)
+    stored = novelty.baseline_as_of(past, epoch_of(BEFORE), WEEKLY.ttl)
+    return stored, occurrences_between(spark, sf_dir, RUN - day, RUN)
 
 
 @registered(
