@@ -28,10 +28,12 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -73,11 +75,43 @@ class Pieces:
                 self.known.setdefault(piece[:k])
         self.known |= {piece: (i, 1 / (r + 2.7) / scale) for piece, (i, r) in ranks.items()}
         self.unknown = min(v[1] for v in self.known.values() if v) * math.exp(-10)
-        # the same by hash
+        # the same by hash: a table, and a larger one for what collides there
         hashed = sorted((_hash(k), *(v or (-1, 1.0))) for k, v in self.known.items())
         self.hashes = np.array([h for h, _, _ in hashed], np.uint64)
         self.ids = np.array([i for _, i, _ in hashed], np.int64)
         self.logs = np.log([p for _, _, p in hashed])
+        self.table = np.zeros(1 << 20, np.int32)
+        upper = self._upper(self.hashes)
+        self.table[upper] = np.arange(len(hashed))
+        rest = np.flatnonzero(self.table[upper] != np.arange(len(hashed)))
+        self.second = np.zeros(1 << 22, np.int32)
+        for self.factor in np.random.default_rng(1).integers(1, 1 << 62, 10_000).astype(np.uint64) * np.uint64(2) + np.uint64(1):
+            lower = self._lower(self.hashes[rest])
+            if len(np.unique(lower)) == len(rest):
+                break
+        else:
+            raise ValueError("no table without collisions for this vocabulary")
+        self.second[lower] = rest
+        # each piece's bytes, one behind the other
+        self.lengths = np.array([len(b) for b in self.bytes], np.int64)
+        self.begins = np.cumsum(self.lengths) - self.lengths
+        self.content = np.frombuffer(b"".join(self.bytes), np.uint8)
+
+    @staticmethod
+    def _upper(hashes: np.ndarray) -> np.ndarray:
+        return (hashes * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(44)
+
+    def _lower(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes * self.factor) >> np.uint64(42)
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each hash is among ``hashes``, and whether it is."""
+        place = self.table[self._upper(hashes)]
+        known = self.hashes[place] == hashes
+        other = np.flatnonzero(~known)
+        place[other] = self.second[self._lower(hashes[other])]
+        known[other] = self.hashes[place[other]] == hashes[other]
+        return place, known
 
 
 _BASE = 0x9E3779B97F4A7C15
@@ -106,6 +140,21 @@ def decode(ids, vocabulary: Pieces | None = None) -> str:
     return b"".join([held[i] for i in ids]).decode("utf-8", "replace")[1:]
 
 
+def decode_all(column: pa.Array) -> pa.Array:
+    """The texts of a column of segmentations; nulls stay."""
+    held = pieces()
+    ids = column.flatten().to_numpy(zero_copy_only=False)
+    sizes = np.array([0 if n is None else n for n in pc.list_value_length(column).to_pylist()], np.int64)
+    lengths = held.lengths[ids]
+    ends = np.cumsum(lengths)
+    total = int(ends[-1]) if len(ends) else 0
+    content = held.content[np.repeat(held.begins[ids] - ends + lengths, lengths) + np.arange(total)].tobytes()
+    last = np.concatenate(([0], np.cumsum(sizes)))
+    bounds = np.concatenate(([0], ends))[last].tolist()
+    texts = [content[a:b].decode("utf-8", "replace")[1:] for a, b in zip(bounds, bounds[1:], strict=False)]
+    return pa.array([t if v else None for t, v in zip(texts, column.is_valid().to_pylist(), strict=True)], pa.string())
+
+
 class Lattices:
     """The lattices of some words, in flat arrays.
 
@@ -143,8 +192,7 @@ class Lattices:
         while len(at):
             value = value * np.uint64(_BASE) + (text[at + length] + 1).astype(np.uint64)
             length += 1
-            k = np.minimum(np.searchsorted(held.hashes, value), len(held.hashes) - 1)
-            known = held.hashes[k] == value
+            k, known = held.find(value)
             at, value, k = at[known], value[known], k[known]
             whole = held.ids[k] >= 0
             found.append((at[whole], np.full(whole.sum(), length), held.ids[k[whole]], held.logs[k[whole]]))
@@ -155,17 +203,28 @@ class Lattices:
         other = np.flatnonzero(~single)
         codes = text[other]
         bytes_ = np.where(codes < 128, np.array(held.byte_ids)[np.minimum(codes, 127)], -1 - codes)
-        found.append((other, np.ones(len(other), np.int64), bytes_, np.full(len(other), math.log(held.unknown))))
-        source, lengths, piece, log = (np.concatenate(x) for x in zip(*found, strict=True))
-        order = np.argsort(source * 64 + lengths)
-        return source[order], lengths[order], piece[order], log[order]
+        found.insert(0, (other, np.ones(len(other), np.int64), bytes_, np.full(len(other), math.log(held.unknown))))
+        # a place's edges stand together, shorter ones first; each length has a place once
+        used = np.zeros(len(text), np.int64)
+        slots = []
+        for at, *_ in found:
+            slots.append(used[at])
+            used[at] += 1
+        begin = np.cumsum(used) - used
+        total = int(used.sum())
+        out = [np.empty(total, np.int64), np.empty(total, np.int64), np.empty(total, np.int64), np.empty(total)]
+        for columns, slot in zip(found, slots, strict=True):
+            slot += begin[columns[0]]
+            for column, values in zip(out, columns, strict=True):
+                column[slot] = values
+        return out
 
     @staticmethod
     def _shares(source, target, ends, log, left):
         """Sums over all ways to the ends of words, all places at one distance from them at once."""
         ahead, paths = np.zeros(len(left)), np.ones(len(left))
         distance = left[source]
-        order = np.argsort(distance, kind="stable")
+        order = _in_order(distance)
         bounds = np.searchsorted(distance[order], np.arange(1, distance.max(initial=0) + 2))
         share = np.empty(len(source))
         for low, high in zip(bounds, bounds[1:], strict=False):
@@ -183,6 +242,12 @@ class Lattices:
         return paths, share
 
 
+def _in_order(values: np.ndarray) -> np.ndarray:
+    """A stable order; numbers of 16 bits are sorted by radix."""
+    small = not len(values) or values.max() < 1 << 16
+    return np.argsort(values.astype(np.uint16) if small else values, kind="stable")
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -215,7 +280,7 @@ def _completed(lattices: Lattices, nodes: np.ndarray, seeds: np.ndarray) -> tupl
     if not owners:
         return np.empty(0, np.int64), np.empty(0, np.int64), log
     owner = np.concatenate(owners)
-    order = np.argsort(owner, kind="stable")
+    order = _in_order(owner)
     return np.concatenate(chosen)[order], np.bincount(owner, minlength=len(nodes)), log
 
 
@@ -280,18 +345,21 @@ def sample(texts: list[tuple[int, str]], vocabulary: Pieces, samples: int = SAMP
     first perturbed value that is not; all of them are there, and score 1, if a text has
     no more than ``samples`` segmentations.
     """
-    index: dict[str, int] = {}
-    chains = [np.array([index.setdefault(w, len(index)) for w in words_of(text)], np.int64) for _, text in texts]
-    lattices = Lattices(vocabulary, list(index))
-    chains = [lattices.starts[c] for c in chains]
+    words = [words_of(text) for _, text in texts]
+    every = list(chain.from_iterable(words))
+    distinct = list(dict.fromkeys(every))
+    lattices = Lattices(vocabulary, distinct)
+    index = dict(zip(distinct, lattices.starts.tolist(), strict=True))
+    starts = np.fromiter(map(index.__getitem__, every), np.int64, len(every))
+    chains = np.split(starts, np.cumsum([len(w) for w in words])[:-1])
     spots = [_mixed(np.arange(len(c), dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(seed & (1 << 64) - 1)) for (seed, _), c in zip(texts, chains, strict=True)]
     paths: list[list[Path]] = [[] for _ in texts]
     nothing = np.empty(0, np.int64)
     for turn in range(samples):
         # (text, path to leave, word to leave it at, bound); the first paths leave nothing
         leaving = []
-        for d, chain in enumerate(chains):
-            if not len(chain):
+        for d, nodes in enumerate(chains):
+            if not len(nodes):
                 continue
             if not turn:
                 leaving.append((d, None, -1, float(-np.log(-np.log(_uniform(spots[d][:1], 1 << 20)[0])))))
@@ -407,10 +475,8 @@ def decoded(samples: DataFrame, ids: str = "ids", name: str = "text") -> DataFra
     """``samples`` with a column for the text of its ids; null ids give null."""
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = pieces()
         for batch in rows:
-            texts = [None if i is None else decode(i, vocabulary) for i in batch.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names)
+            yield pa.RecordBatch.from_arrays([*batch.columns, decode_all(batch.column(at))], names)
 
     at, names = samples.columns.index(ids), [*samples.columns, name]
     return map_batches(samples, batches, samples.select("*", F.lit("").alias(name)).schema)
