@@ -142,7 +142,9 @@ def fit(docs: DataFrame, text: str = "text") -> Model:
     """Train with a bounded sample of the corpus' paragraphs, in the order of a hash, as unknown ones."""
     line = F.split(F.col(text), "\n")
     some = docs.where(F.col(text).isNotNull()).select(F.xxhash64(text).alias("h"), line.alias("lines"))
-    some = some.orderBy("h").select("h", F.substring(F.element_at("lines", (F.pmod("h", F.size("lines")) + 1).cast("int")), 1, SAMPLE_CHARS).alias("p")).limit(SAMPLE)
+    # cut before they are ordered: each task sends SAMPLE short rows at most
+    some = some.select("h", F.substring(F.element_at("lines", (F.pmod("h", F.size("lines")) + 1).cast("int")), 1, SAMPLE_CHARS).alias("p"))
+    some = some.orderBy("h", "p").limit(SAMPLE)
     return train([r.p for r in some.collect()])
 
 
