@@ -4,13 +4,20 @@ Method: a hash-prefix forest.  Each tree gives a vector a string of ``LETTERS``
 a letter names the axis of a random rotation the vector lies nearest to, and its sign.
 A tree is the sorted array of these strings.  A query descends in every tree to the
 entries with the longest prefix in common, and ascends in all trees at once, letter by
-letter, until at least ``ENOUGH`` entries are met, or the root; it is compared with the
-vectors of all of them.
+letter, until what is unseen is not likely to be among the nearest, or the root; it is
+compared with the vectors of all of them.
+
+When to stop: a vector of cosine c to the query shares a letter with it with probability
+p(c), measured for the number of components, and is unseen at prefixes of L letters
+with probability (1 - p(c)^L)^TREES.  The true nearest lie no farther than the farthest of
+the nearest found, so a query stops where a vector there is unseen with probability ``MISS``
+at most.  That holds for tables of any size.
 
 The arrays are cut by tree and first letter, and a cut with many entries or many queries
 into chunks, so that no task holds more than a chunk of each.  A first pass counts the
-entries by length of common prefix; from the sums each query's level follows, which a
-second pass searches.  Queries that must ascend to the root meet all vectors in blocks.
+entries by length of common prefix; levels that meet fewer than ``ENOUGH`` are passed over
+unsearched.  Then every level is a pass over the queries that have not stopped.  Queries
+that must ascend to the root meet all vectors in blocks.
 What is passed on for a vector is its int8 codes; the codes' error bound decides what
 may be among the nearest, and those few are compared by the original vectors in double
 precision.
@@ -21,7 +28,7 @@ that makes all lengths equal (that of the longest), and queries get a zero there
 
 from __future__ import annotations
 
-from functools import cache
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +40,8 @@ from rolehabit.llm.near_vectors import usable
 
 NEAREST, EVERY = 20, 20
 TREES, LETTERS, ENOUGH = 48, 3, 2048
+#: Probability at most that one of the nearest is unseen where a query stops below the root.
+MISS = 0.1
 #: Entries and queries of a chunk.
 CHUNK, QUERY_CHUNK = 8192, 1024
 SEED = 5
@@ -55,6 +64,26 @@ def strings(vectors: np.ndarray) -> np.ndarray:
     return out.reshape(len(vectors), TREES, LETTERS)
 
 
+@cache
+def least_cosine(size: int, length: int) -> float:
+    """From which cosine on a vector is unseen at prefixes of ``length`` letters with probability ``MISS`` at most."""
+    draw = np.random.default_rng(SEED)
+    u, w = draw.normal(size=(2, 20_000, size))
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    w -= (w * u).sum(axis=1, keepdims=True) * u
+    w /= np.maximum(np.linalg.norm(w, axis=1, keepdims=True), 1e-12)
+    rows, axis = np.arange(len(u)), np.abs(u).argmax(axis=1)
+    wanted = (1 - MISS ** (1 / TREES)) ** (1 / length)
+    least = 1.0
+    for c in np.linspace(1, 0, 51):  # downwards as far as every cosine shares enough
+        v = c * u + np.sqrt(1 - c * c) * w
+        same = (np.abs(v).argmax(axis=1) == axis) & (v[rows, axis] * u[rows, axis] > 0)
+        if same.mean() < wanted:
+            break
+        least = float(c)
+    return least
+
+
 def _vectors(column) -> np.ndarray:
     lists = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     return lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(lists), -1)
@@ -137,21 +166,22 @@ def _met(rows: pa.Table, base: int) -> pa.Table:
     return pa.concat_tables(out)
 
 
-def _best(rows: pa.Table, base: int, root: bool) -> pa.Table:
-    """The entries of a chunk that each query's prefix reaches and that may be among its nearest."""
+def _best(rows: pa.Table, base: int, length: int) -> pa.Table:
+    """The entries of a chunk that share ``length`` letters with a query (0: all) and that may be among its nearest."""
     codes = np.frombuffer(b"".join(rows.column("codes").to_pylist()), np.int8).reshape(rows.num_rows, -1).astype(np.float32)
     scale, error, node = (rows.column(c).to_numpy() for c in ("scale", "error", "node"))
     data, asks = _split(rows)
-    if not root:
-        rest, level = rows.column("rest").to_numpy(), rows.column("level").to_numpy(zero_copy_only=False)
+    if length:
+        rest = rows.column("rest").to_numpy()
         data = data[np.argsort(rest[data], kind="stable")]
+        rest_sorted = rest[data]
     rough = codes[data] * scale[data, None]
     lengths = np.linalg.norm(rough, axis=1)
     queries, found = [], []
     for q in asks:
         low, high = 0, len(data)
-        if not root:
-            low, high = (int(x[0]) for x in _prefix_ranges(rest[data], rest[q : q + 1], int(level[q]), base))
+        if length:
+            low, high = (int(x[0]) for x in _prefix_ranges(rest_sorted, rest[q : q + 1], length, base))
         if low == high:
             continue
         own = codes[q] * scale[q]
@@ -201,21 +231,39 @@ def nearest(rows: DataFrame, key: str = "vec_id", vector: str = "embedding", eve
     counted = _tiled(entries.select("tree", "letter", "rest", "node", "query"), "tree", "letter").groupBy("tree", "letter", "part", "query_part")
     met = counted.applyInArrow(lambda t: _met(t, base), "node long, length int, n long")
     met = met.groupBy("node", "length").agg(F.sum("n").alias("n"))
-    levels = stored(met.groupBy("node").agg(F.coalesce(F.max(F.when(F.col("n") >= ENOUGH, F.col("length"))), F.lit(0)).alias("level")), "levels")
-
-    tiles = _tiled(entries.join(levels, "node", "left").where("not query or level > 0"), "tree", "letter").groupBy("tree", "letter", "part", "query_part")
-    near = tiles.applyInArrow(lambda t: _best(t, base, False), "query long, node long")
-    # the root: all vectors, for queries that meet too few below it
-    whole = entries.where("tree = 0").join(levels, "node", "left").where("not query or level = 0").withColumn("all", F.lit(0))
-    near = near.union(_tiled(whole, "all").groupBy("all", "part", "query_part").applyInArrow(lambda t: _best(t, base, True), "query long, node long"))
-    near = stored(near.distinct(), "near")
+    waiting = stored(met.groupBy("node").agg(F.coalesce(F.max(F.when(F.col("n") >= ENOUGH, F.col("length"))), F.lit(0)).alias("level")), "levels")
 
+    dot = lambda x, y: F.aggregate(F.arrays_zip(F.col(x).alias("x"), F.col(y).alias("y")), F.lit(0.0), lambda a, z: a + z["x"] * z["y"])
     asked = nodes.where("asks").select(F.col("node").alias("query"), F.col("vector").alias("x"))
-    scored = near.join(asked, "query").join(nodes.select("node", F.col("vector").alias("y")), "node")
-    dot = F.aggregate(F.arrays_zip("x", "y"), F.lit(0.0), lambda a, z: a + z["x"] * z["y"])
-    # per distinct query vector: at most what every chunk could not rule out
-    ranked = scored.select("query", "node", dot.alias("score"))
-    ranked = ranked.withColumn("place", F.rank().over(Window.partitionBy("query").orderBy(F.desc("score")))).where(F.col("place") <= NEAREST + 1)
+
+    def searched(asking: DataFrame, length: int) -> DataFrame:
+        """(query, node, score): the nearest distinct vectors met at prefixes of this length, for the queries asking."""
+        some = entries.join(asking.select("node", F.lit(True).alias("asking")), "node", "left").where("not query or asking")
+        by = ("tree", "letter") if length else ("all",)
+        # the root: all vectors, out of one tree
+        some = some if length else some.where("tree = 0").withColumn("all", F.lit(0))
+        near = _tiled(some, *by).groupBy(*by, "part", "query_part").applyInArrow(lambda t: _best(t, base, length), "query long, node long")
+        scored = stored(near.distinct(), "near").join(asked, "query").join(nodes.select("node", F.col("vector").alias("y")), "node")
+        # per distinct query vector: at most what every chunk could not rule out
+        ranked = scored.select("query", "node", dot("x", "y").alias("score"))
+        ranked = ranked.withColumn("place", F.rank().over(Window.partitionBy("query").orderBy(F.desc("score")))).where(F.col("place") <= NEAREST + 1)
+        return stored(ranked.select("query", "node", "score"), f"ranked-{length}")
+
+    found = []
+    for length in range(LETTERS, 0, -1):
+        asking = waiting.where(F.col("level") >= length)
+        if asking.isEmpty():
+            continue
+        ranked = searched(asking, length)
+        # the query itself may be one of those found
+        last = ranked.groupBy("query").agg(F.count("*").alias("n"), F.min("score").alias("score")).where(F.col("n") > NEAREST).join(asked, "query")
+        near_enough = F.col("score") >= least_cosine(size + 1, length) * longest * F.sqrt(dot("x", "x"))
+        stopped = stored(last.where(near_enough).select("query"), "stopped")
+        found.append(ranked.join(stopped, "query", "left_semi"))
+        waiting = stored(waiting.join(stopped, F.col("node") == F.col("query"), "left_anti"), "waiting")
+    if not waiting.isEmpty():
+        found.append(searched(waiting, 0))
+    ranked = reduce(DataFrame.union, found) if found else nodes.limit(0).select(F.col("node").alias("query"), "node", F.lit(0.0).alias("score"))
     ids = named.where(F.pmod("id", F.lit(every)) == 0).select(F.col("id").alias("query_id"), F.col("node").alias("query"))
     pairs = ids.join(ranked.select("query", "node", "score"), "query").join(members, "node").where("id <> query_id")
     final = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")

@@ -61,3 +61,28 @@ def test_odd_rows(spark):
     got = sorted(map(tuple, forest.nearest(frame).collect()))
     assert got == [(0, 1, 1, 1.0), (0, 2, 20, 0.5), (20, 1, 0, 0.5), (20, 2, 1, 0.5)]
     assert forest.nearest(frame.limit(0)).collect() == []
+
+
+def test_recall_on_both_sides_of_a_level_switch(spark, monkeypatch):
+    # a query meets itself in 48 trees; beside it 75 are met at one letter of 1,000 near-uniform vectors, at two of 4,000
+    monkeypatch.setattr(forest, "ENOUGH", 75)
+    found = {}
+
+    def stored(frame, name, *by):
+        table = forest_stored(frame, name, *by)
+        if name in ("levels", "stopped"):
+            found.setdefault(name, []).append(table.collect())
+        return table
+
+    forest_stored = forest.stored
+    monkeypatch.setattr(forest, "stored", stored)
+    for n, start in ((1000, 1), (4000, 2)):
+        found.clear()
+        x = np.random.default_rng(n).normal(size=(n, 32))
+        rows = [(i, v.tolist()) for i, v in enumerate(x / np.linalg.norm(x, axis=1, keepdims=True))]
+        got = forest.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+        levels = [r.level for r in found["levels"][0]]
+        assert np.median(levels) == start
+        # most queries end below the root
+        assert sum(map(len, found["stopped"])) > 0.5 * len(levels)
+        assert compare(got, brute(rows)) >= 0.9
