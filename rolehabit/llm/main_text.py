@@ -5,8 +5,10 @@ elements they stand in, the nearer the more, and an element's points are discoun
 the share of its text that is links.  The best element is kept, with those of its
 siblings that score well beside it or hold running text.
 
-Menus, forms, notices, adverts, comments and the like are left out by their element or by
-a word in their class, id or role, before anything is scored.
+Menus, forms and the like are left out by their element before anything is scored.
+Elements named in class, id or role as notices, adverts, comments or the like are left out
+too, unless they hold an article or main element or most of the paragraph points of what
+they stand in: the article, or a page that has none.
 """
 
 from __future__ import annotations
@@ -38,13 +40,15 @@ _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>
 _PLAIN_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
 _NAMES = re.compile(r"""\b(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
+#: Words that make a name say that something is there or not, rather than what the element is.
+_MODIFIERS = {"with", "without", "no", "has", "is", "not", "hide", "show"}
 
 
 class Element:
-    __slots__ = ("tag", "parent", "parts", "dropped", "points", "length", "linked", "commas")
+    __slots__ = ("tag", "parent", "parts", "dropped", "named", "points", "length", "linked", "commas")
 
     def __init__(self, tag: str, parent: Element | None, dropped: bool = False):
-        self.tag, self.parent, self.dropped = tag, parent, dropped
+        self.tag, self.parent, self.dropped, self.named = tag, parent, dropped, False
         self.parts: list[str | Element] = []
         self.points, self.length, self.linked, self.commas = 0.0, 0, 0, 0
 
@@ -63,8 +67,19 @@ def _unwanted(tag: str, attributes: str, parent: Element) -> bool:
         value = "".join(values)
         if name.lower() == "hidden" or (name.lower() == "aria-hidden" and value.lower() == "true"):
             return True
-        if name.lower() in ("class", "id", "role") and not _BOILERPLATE.isdisjoint(w.lower() for w in _WORDS.findall(value)):
-            return True
+    return False
+
+
+def _named(tag: str, attributes: str) -> bool:
+    """Whether a class, the id or the role names something beside the article."""
+    if tag in ("html", "body", "main", "article"):
+        return False
+    for name, *values in _NAMES.findall(attributes):
+        if name.lower() in ("class", "id", "role"):
+            for token in "".join(values).split():
+                words = [w.lower() for w in _WORDS.findall(token)]
+                if words and words[0] not in _MODIFIERS and not _BOILERPLATE.isdisjoint(words):
+                    return True
     return False
 
 
@@ -117,6 +132,7 @@ def parsed(page: str) -> Element:
                 here.parts.append(" ")
             continue
         child = Element(name, here, here.dropped or _unwanted(name, found[3], here))
+        child.named = not child.dropped and _named(name, found[3])
         here.parts.append(child)
         if name in _RAW:
             end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
@@ -137,6 +153,49 @@ def _in_order(root: Element) -> list[Element]:
     return found
 
 
+def _points(e: Element, length: int, commas: int) -> float:
+    """What the element gives as a paragraph; 0 if it is none."""
+    direct = any(isinstance(p, str) and p.strip() for p in e.parts)
+    if not length or not (e.tag in _PARAGRAPH or (direct and e.tag not in _INLINE)):
+        return 0.0
+    return (1 if length >= 25 else 0) + commas + min(length / 100, 3)
+
+
+def _drop_named(root: Element) -> None:
+    """Leave out named elements, but not what holds an article or most of an article's or the page's points."""
+    elements = _in_order(root)
+    held = {id(e): [0, 0, 0, 0.0, False] for e in elements}  # length, linked, commas, points, holds an article
+    for e in reversed(elements):
+        own = held[id(e)]
+        texts = [p for p in e.parts if isinstance(p, str)]
+        own[0] += sum(len(p.strip()) for p in texts)
+        own[2] += sum(p.count(",") + p.count("，") + p.count("、") for p in texts)
+        if e.tag == "a":
+            own[1] = own[0]
+        own[3] += _points(e, own[0], own[2]) * (1 - own[1] / own[0] if own[0] else 0)
+        own[4] |= e.tag in ("article", "main")
+        if e.parent:
+            above = held[id(e.parent)]
+            above[0] += own[0]
+            above[1] += own[1]
+            above[2] += own[2] if e.tag in _INLINE else 0
+            above[3] += own[3]
+            above[4] |= own[4]
+    whole = held[id(root)][3]
+    articles = any(e.tag in ("article", "main") and held[id(e)][3] for e in elements)
+    within: dict[int, Element | None] = {}
+    for e in elements:  # parents first
+        within[id(e)] = (e.parent if e.parent.tag in ("article", "main") else within[id(e.parent)]) if e.parent else None
+        if not e.named:
+            continue
+        *_, points, article = held[id(e)]
+        around = within[id(e)]
+        if around:
+            e.dropped = points <= held[id(around)][3] / 2
+        else:
+            e.dropped = not article and (articles or points <= whole / 2)
+
+
 def _text(elements: list[Element]) -> str:
     """Their text: blocks and breaks part words, inline elements do not."""
     out: list[str] = []
@@ -156,6 +215,7 @@ def _text(elements: list[Element]) -> str:
 def main_text(page: str | None) -> str:
     """The article of a page; empty if it has no text."""
     root = parsed(page or "")
+    _drop_named(root)
     elements = _in_order(root)
     for e in reversed(elements):
         own = [p for p in e.parts if isinstance(p, str)]
@@ -168,9 +228,9 @@ def main_text(page: str | None) -> str:
             e.parent.linked += e.linked
             if e.tag in _INLINE:
                 e.parent.commas += e.commas
-        direct = any(p.strip() for p in own)
-        if e.length and (e.tag in _PARAGRAPH or (direct and e.tag not in _INLINE)):
-            points = (1 if e.length >= 25 else 0) + e.commas + min(e.length / 100, 3)
+        points = _points(e, e.length, e.commas)
+        if points:
+            direct = any(p.strip() for p in own)
             above, share = (e if direct and e.tag not in _PARAGRAPH else e.parent or e), 1.0
             while above.tag in _FRAME and above.parent:  # lists and tables hold paragraphs for what they stand in
                 above = above.parent

@@ -50,3 +50,10 @@ def test_odd_rows(spark):
     frame = spark.createDataFrame(rows, "page_id long, url string, html string, text int")
     assert sorted(map(tuple, extract(frame).collect()), key=repr) == sorted([(1, None, "", 0), (None, "u", P, len(P)), (3, "u", "", 0), (3, "u", "", 0)], key=repr)
     assert extract(frame.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("name", ["class='page with-sidebar'", "class=no-sidebar", "class='content has-comments'", "class=post-widget", "class=search-result", "id='notice-text'"])
+def test_names_around_the_article(name):
+    assert main_text(f"<body><div {name}><article><h1>T</h1><p>{P}</p></article></div></body>") == f"T {P}"
+    assert main_text(f"<body><div {name}><p>{P}</p><p>{P}</p></div><div><p>{P}</p></div></body>").startswith(f"{P} {P}")
+    assert main_text(f"<body><div><p>{P}</p><p>{P}</p></div><div class='widget sidebar'><p>{P}</p></div></body>") == f"{P} {P}"
