@@ -3,7 +3,8 @@
 Method: tree scoring.  Paragraphs pass points for their length and their commas to the
 elements they stand in, the nearer the more, and an element's points are discounted by
 the share of its text that is links.  The best element is kept, with those of its
-siblings that score well beside it or hold running text.
+siblings that score well beside it, are of its kind or hold running text, and with headings and
+loose text of their parent.  A page without body is scored as one itself.
 
 Menus, forms and the like are left out by their element before anything is scored.
 Elements named in class, id or role as notices, adverts, comments or the like are left out
@@ -28,6 +29,7 @@ _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "me
 _INLINE = {"a", "abbr", "b", "bdi", "bdo", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark", "q", "rp", "rt", "ruby",
            "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "img"}
 _PARAGRAPH = {"p", "pre", "td", "blockquote", "li", "dd", "dt"}
+_HEADING = {"h1", "h2", "h3", "h4", "h5", "h6", "hgroup"}
 _FRAME = {"ul", "ol", "dl", "table", "tbody", "thead", "tfoot", "tr"}
 #: A start tag ends an open one of these, unless one of the latter stands between.
 _ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}),
@@ -37,6 +39,8 @@ _BOILERPLATE = {"ad", "ads", "advert", "adverts", "advertisement", "advertising"
                 "navbar", "navigation", "newsletter", "notice", "notices", "pagination", "pager", "popup", "promo", "promoted", "related", "replies", "respond",
                 "search", "share", "sharing", "sidebar", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget", "login", "signup"}
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
+#: A tag that the page ends within.
+_CUT_TAG = re.compile(r"""</?[a-zA-Z][^\s<>]*(?:\s+[^\s<>=]+\s*=\s*(?:"[^"]*"?|'[^']*'?|[^\s"'<>]*))*\s*\Z""")
 _PLAIN_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
 _NAMES = re.compile(r"""\b(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
@@ -104,6 +108,8 @@ def parsed(page: str) -> Element:
             at = end + 1 if end >= 0 else size
             continue
         found = _TAG.match(page, tag) or _PLAIN_TAG.match(page, tag)
+        if not found and _CUT_TAG.match(page, tag):
+            break
         if not found:  # a bracket that opens nothing is text
             here.parts.append("<")
             at = tag + 1
@@ -196,7 +202,7 @@ def _drop_named(root: Element) -> None:
             e.dropped = not article and (articles or points <= whole / 2)
 
 
-def _text(elements: list[Element]) -> str:
+def _text(elements: list[str | Element]) -> str:
     """Their text: blocks and breaks part words, inline elements do not."""
     out: list[str] = []
     waiting: list[str | Element] = list(reversed(elements))
@@ -239,21 +245,30 @@ def main_text(page: str | None) -> str:
                 above.points += points * share
                 above, level = above.parent, level + 1
                 share = 1 / 2 if level == 1 else 1 / (3 * level)
-    scored = [(e.points * (1 - e.linked / e.length), -k, e) for k, e in enumerate(elements) if e.length and e.tag not in _INLINE | _FRAME and e is not root]
+    scored = [(e.points * (1 - e.linked / e.length), -k, e) for k, e in enumerate(elements) if e.length and e.tag not in _INLINE | _FRAME]
     if not scored:
         return _text([root])
     best_score, _, best = max(scored, key=lambda s: s[:2])
-    if best.parent is None or best.parent is root:
-        return _text([best])
-    kept = []
-    for part in best.parent.parts:
-        if isinstance(part, str) or part.dropped:
+    # a root that is best is judged by what stands in it
+    whole = best.tag == "root"
+    parent = best if whole else best.parent
+    loose = [p for p in parent.parts if isinstance(p, Element) and not p.dropped and p.tag in _INLINE]
+    length = sum(len(p.strip()) for p in parent.parts if isinstance(p, str)) + sum(p.length for p in loose)
+    loose_kept = sum(p.linked for p in loose) < 0.5 * length
+    kept: list[str | Element] = []
+    for part in parent.parts:
+        if isinstance(part, str) or part.tag in _INLINE:
+            if part is best or loose_kept:
+                kept.append(part)
+            continue
+        if part.dropped:
             continue
         density = part.linked / part.length if part.length else 1
-        well = part.points * (1 - density) >= max(10, best_score / 5)
+        well = part.points > 0 and part.points * (1 - density) >= best_score / 5
+        alike = part.tag == best.tag and part.points > 0 and density < 0.25
         running = part.tag in _PARAGRAPH and part.length > 80 and density < 0.25
-        within = best.parent.tag in ("article", "main") and density < 0.5
-        if part is best or well or running or within:
+        within = (whole or parent.tag in ("article", "main") or part.tag in _HEADING) and density < 0.5
+        if part is best or well or alike or running or within:
             kept.append(part)
     return _text(kept)
 

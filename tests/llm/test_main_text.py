@@ -57,3 +57,18 @@ def test_names_around_the_article(name):
     assert main_text(f"<body><div {name}><article><h1>T</h1><p>{P}</p></article></div></body>") == f"T {P}"
     assert main_text(f"<body><div {name}><p>{P}</p><p>{P}</p></div><div><p>{P}</p></div></body>").startswith(f"{P} {P}")
     assert main_text(f"<body><div><p>{P}</p><p>{P}</p></div><div class='widget sidebar'><p>{P}</p></div></body>") == f"{P} {P}"
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<h1>T</h1><p>{P}</p><p>{P}</p>", f"T {P} {P}"), (f"<p>A</p><p>{P}</p>", f"A {P}"), (f"<p>{P}</p><div><a href=x>{P}</a></div>", P),
+        (f"<div><section><p>{P}</p><p>{P} {P}</p></section><section><p>short one</p></section></div>", f"{P} {P} {P} short one"),
+        (f"<body><div><section>{f'<p>{P}</p>' * 9}</section><section><p>{P}</p></section></div></body>", " ".join([P] * 10)),
+        (f"<article>loose before<div><p>{P}</p><p>{P}</p></div>and <b>after</b></article>", f"loose before {P} {P} and after"),
+        (f"<body><div><h2>Head</h2>loose<section><p>{P}</p></section></div></body>", f"Head loose {P}"),
+        (f"<body><div><a href=x>{P}</a><section><p>{P}</p></section></div></body>", P),
+    ],
+)
+def test_no_part_is_lost(page, text):
+    assert main_text(page) == text
