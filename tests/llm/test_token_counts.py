@@ -26,6 +26,11 @@ def test_overlap_widens_where_nothing_is_stable(text):
     assert count_in_chunks(text, encoder(), 1000, 4) == expected(text)
 
 
+def test_white_space_beyond_the_stack_of_the_pattern():
+    text = " " * 2_000_000 + "a"
+    assert len(encoder().ids(text)) == count_in_chunks(text, encoder()) == expected(text)
+
+
 def test_table(spark):
     texts = [None, "", "one two", "word " * 20_000, "<|endoftext|>", "one two"]
     rows = spark.createDataFrame([(i, t, 7) for i, t in enumerate(texts)] + [(None, "x", 1)], "doc_id long, text string, n_tokens int")
