@@ -2,6 +2,7 @@
 
 from rolehabit.llm import (  # noqa: F401
     forest,
+    hard_negatives,
     licences,
     main_text,
     mixing,
