@@ -1,6 +1,7 @@
 """Operators for preparing training data, and the queries that apply them."""
 
 from rolehabit.llm import (  # noqa: F401
+    collocations,
     forest,
     hard_negatives,
     licences,
