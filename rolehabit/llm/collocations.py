@@ -39,7 +39,7 @@ LONGEST = 5
 LEAST = 100
 TOP = 2000
 #: A shard is closed after so many words or bytes; documents are read in slices of so many bytes.
-SHARD_WORDS, SHARD_BYTES, SLICE = 1 << 21, 1 << 26, 1 << 20
+SHARD_WORDS, SHARD_BYTES, SLICE = 1 << 22, 1 << 26, 1 << 20
 #: Bits of a row within a shard, and of a shard's number within its task.
 ROW_BITS, SHARD_BITS = 27, 16
 #: Rows handed to Spark at once.
