@@ -67,24 +67,32 @@ def words(data: bytes) -> list[bytes]:
 
 
 def _ranks(keys: np.ndarray) -> np.ndarray:
+    """Dense ranks; the keys are overwritten."""
     order = np.argsort(keys)
-    ordered = keys[order]
-    out = np.empty(len(keys), np.int64)
-    out[order] = np.concatenate(([0], np.cumsum(ordered[1:] != ordered[:-1])))
+    keys = keys[order]
+    ranks = np.empty(len(keys), np.int32)
+    ranks[0] = 0
+    np.cumsum(keys[1:] != keys[:-1], out=ranks[1:], dtype=np.int32)
+    del keys
+    out = np.empty_like(ranks)
+    out[order] = ranks
     return out
 
 
 def transform(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorted suffixes (by ``LONGEST`` = 5 ids) and the ids before them; text ends with 0."""
-    n, base = len(text), int(text.max()) + 1
-
-    def later(ids: np.ndarray, by: int) -> np.ndarray:
-        return np.concatenate((ids[by:], np.zeros(min(by, n), ids.dtype)))
-
-    text = text.astype(np.int64)
-    pairs = _ranks(text * base + later(text, 1))
-    fours = _ranks(pairs * (int(pairs.max()) + 1) + later(pairs, 2))
-    order = np.argsort(fours * base + later(text, 4))
+    base = int(text.max()) + 1
+
+    def joined(ids: np.ndarray, times: int, later: np.ndarray, by: int) -> np.ndarray:
+        keys = ids.astype(np.int64)
+        keys *= times
+        keys[: len(keys) - by] += later[by:]
+        return keys
+
+    pairs = _ranks(joined(text, base, text, 1))
+    fours = _ranks(joined(pairs, int(pairs.max()) + 1, pairs, 2))
+    del pairs
+    order = np.argsort(joined(fours, base, text, 4)).astype(np.int32)
     return order, text[order - 1].astype(np.int32)
 
 
@@ -114,7 +122,7 @@ class Shard:
     def batches(self, number: int) -> Iterator[pa.RecordBatch]:
         """Rows of words, then one of the index."""
         self.end_piece()
-        text = np.concatenate(self.parts)
+        text, self.parts = np.concatenate(self.parts), []
         text = text[(text != 0) | (np.concatenate(([1], text[:-1])) != 0)]  # no empty pieces
         if not len(text) or not text.any():
             return
@@ -190,11 +198,13 @@ def extended(before: np.ndarray, early: np.ndarray, low: np.ndarray, many: np.nd
     inside = np.repeat(low - np.concatenate(([0], np.cumsum(many)[:-1])), many) + np.arange(many.sum())
     which[inside] = np.repeat(order, many)
     # the j-th row by the word before it is a step back from the row that j is
-    steps = np.sort((before.astype(np.int64) << 32) | np.arange(n))
-    source = steps & 0xFFFFFFFF
-    prefix, suffix = which, which[source]
-    rows = np.flatnonzero((steps >> 32 > 0) & (prefix >= 0) & (suffix >= 0))
-    prefix, suffix = prefix[rows], suffix[rows]
+    steps = before.astype(np.int64) << 32
+    steps |= np.arange(n)
+    steps.sort()
+    suffix = which[(steps & 0xFFFFFFFF).astype(np.int32)]
+    rows = np.flatnonzero((steps >> 32 > 0) & (which >= 0) & (suffix >= 0))
+    del steps
+    prefix, suffix = which[rows], suffix[rows]
     starts = np.flatnonzero(np.concatenate(([True], (prefix[1:] != prefix[:-1]) | (suffix[1:] != suffix[:-1])))) if len(rows) else rows
     first, size = rows[starts], np.diff(starts, append=len(rows))
     # of o words carried over, phrases that end within them were counted before
