@@ -86,7 +86,7 @@ def transform(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     def joined(ids: np.ndarray, times: int, later: np.ndarray, by: int) -> np.ndarray:
         keys = ids.astype(np.int64)
         keys *= times
-        keys[: len(keys) - by] += later[by:]
+        keys[: max(0, len(keys) - by)] += later[by:]
         return keys
 
     pairs = _ranks(joined(text, base, text, 1))

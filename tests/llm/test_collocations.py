@@ -75,6 +75,12 @@ def test_intervals_are_plain_counts():
         assert dict(zip(names, size, strict=True)) == plain and not less.any()
 
 
+@pytest.mark.parametrize("text", [[0, 1, 0], [0, 1, 2, 0], [0, 1, 0, 2, 0]])
+def test_short_shards(text):
+    order, before = co.transform(np.array(text, np.int32))
+    assert sorted(order) == list(range(len(text))) and [text[i - 1] for i in order] == before.tolist()
+
+
 def test_slices_keep_words_whole():
     data = b"one  two,three\tfour.five " * 5 + b"long" * 20
     for size in (1, 3, 10, 1000):
