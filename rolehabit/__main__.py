@@ -11,7 +11,7 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rolehabit.functions.moments import as_utc
+from rolehabit.functions.moments import as_utc, moment
 from rolehabit.operators.activity import calls_of
 from rolehabit.plans.ingest import ingest_days
 from rolehabit.plans.replay import replay_alerts, warm_up
@@ -22,7 +22,9 @@ from rolehabit.sinks.emission import alert_lines, error_lines, write_lines
 from rolehabit.sinks.tables import written
 from rolehabit.sources import audit, inventory
 from rolehabit.sources.baseline import BaselineStore
-from rolehabit.streaming import jobs
+from rolehabit.sources.versions import InventoryVersions
+from rolehabit.streaming import jobs, late
+from rolehabit.streaming.progress import ProgressLog
 
 DEFAULTS = Settings()
 
@@ -51,6 +53,14 @@ def parser() -> argparse.ArgumentParser:
         command.add_argument("--once", action="store_true", help="end a stream when caught up")
         command.add_argument("--today-only", action="store_true")
         command.add_argument("--owner-as-list", action="store_true")
+        command.add_argument("--topic", action="store_true", help="wrap lines as topic messages")
+        if name == "stream-alerts":
+            command.add_argument("--inventory", help="versions to follow, instead of exports")
+            command.add_argument("--roles", help="role export of the stream's start")
+            command.add_argument("--accounts", help="account export of the stream's start")
+        if name == "stream-windows":
+            command.add_argument("--delay", type=int, default=6 * HOUR, help="seconds an event may be late")
+            command.add_argument("--progress", required=True, help="folder of counters by micro-batch")
 
     job("ingest", "logs table output", "audit files of the run's dates to the table")
     job("tick", "table roles accounts baseline output", "one run against the baseline")
@@ -59,9 +69,11 @@ def parser() -> argparse.ArgumentParser:
     job("stream-ingest", "logs table checkpoint", "audit files to the table, each once")
     job(
         "stream-alerts",
-        "logs roles accounts output checkpoint",
+        "logs output checkpoint",
         "audit files to alerts, hour by hour, from keyed state",
     )
+    job("publish-inventory", "roles accounts inventory", "exports to a new version for streams")
+    job("stream-windows", "logs roles accounts output checkpoint", "calls of roles by hour of the events")
     return top
 
 
@@ -83,24 +95,54 @@ def settings_of(options: argparse.Namespace) -> Settings:
         bound_above=options.run_ts is not None,
         today_only=options.today_only,
         owner_as_list=options.owner_as_list,
+        topic=options.topic,
     )
 
 
-def inventories(spark: SparkSession, options, settings) -> tuple[DataFrame, DataFrame]:
+def exports(spark: SparkSession, options) -> tuple[DataFrame, DataFrame]:
+    accounts = inventory.read_accounts(spark, options.accounts)
+    return inventory.read_roles(spark, options.roles), accounts.withColumn("business", F.lit(options.business))
+
+
+def inventories(spark: SparkSession, options, settings, run_ts: datetime) -> tuple[DataFrame, DataFrame]:
     """Roles and accounts in scope, parsed once and kept with the output."""
     folder = f"{getattr(options, 'output', None) or options.baseline}/inventory"
-    accounts = inventory.read_accounts(spark, options.accounts).withColumn(
-        "business", F.lit(options.business)
-    )
+    found, accounts = exports(spark, options)
     accounts = written(inventory.selected_accounts(accounts, settings), f"{folder}/accounts")
-    found = inventory.read_roles(spark, options.roles)
     # roles nothing can be learned of are reported, not passed over in silence
-    faults = error_lines(inventory.roles_without_principal(found), F.current_timestamp(), settings)
+    faults = error_lines(inventory.roles_without_principal(found), moment(run_ts), settings)
     write_lines(faults, f"{folder}/errors")
     roles = roles_in_scope(found, accounts)
     return written(roles, f"{folder}/roles"), accounts
 
 
+def stream_alerts(spark: SparkSession, options, settings, run_ts: datetime, trigger: dict) -> None:
+    files = audit.stream_audit_files(spark, options.logs, options.files_per_trigger)
+    errors = jobs.start_errors(files, f"{options.output}/errors", f"{options.checkpoint}-errors", trigger, settings)
+    calls = calls_of(audit.readable(audit.flatten(files)))
+    seed = BaselineStore(spark, options.baseline) if options.baseline else None
+    shared = dict(settings=settings, evict=True, seed=seed)
+    if options.inventory:
+        versions = InventoryVersions(spark, options.inventory)
+        query = jobs.start_alerts_following(calls, versions, options.output, options.checkpoint, trigger, **shared)
+    else:
+        roles, accounts = inventories(spark, options, settings, run_ts)
+        query = jobs.start_alerts(calls, roles, accounts, options.output, options.checkpoint, trigger, **shared)
+    query.awaitTermination()
+    errors.awaitTermination()
+
+
+def stream_windows(spark: SparkSession, options, roles: DataFrame, settings, trigger: dict) -> None:
+    files = audit.stream_audit_files(spark, options.logs, options.files_per_trigger)
+    calls = calls_of(audit.readable(audit.flatten(files)), "eventId")
+    with ProgressLog(spark, options.progress) as log:
+        log.wait(
+            late.start_role_windows(
+                calls, roles, f"{options.output}/windows", options.checkpoint, trigger, options.delay, "eventId", settings=settings
+            )
+        )
+
+
 def main(arguments: list[str] | None = None) -> None:
     options = parser().parse_args(arguments)
     settings = settings_of(options)
@@ -119,22 +161,19 @@ def main(arguments: list[str] | None = None) -> None:
         ).awaitTermination()
         return
 
-    roles, accounts = inventories(spark, options, settings)
     if options.job == "stream-alerts":
-        files = audit.stream_audit_files(spark, options.logs, options.files_per_trigger)
-        records = audit.readable(audit.flatten(files))
-        seed = BaselineStore(spark, options.baseline) if options.baseline else None
-        jobs.start_alerts(
-            calls_of(records),
-            roles,
-            accounts,
-            options.output,
-            options.checkpoint,
-            trigger,
-            settings=settings,
-            evict=True,
-            seed=seed,
-        ).awaitTermination()
+        if not (options.inventory or (options.roles and options.accounts)):
+            raise SystemExit("stream-alerts needs --inventory, or --roles and --accounts")
+        stream_alerts(spark, options, settings, run_ts, trigger)
+        return
+    if options.job == "publish-inventory":
+        roles, accounts = exports(spark, options)
+        print(InventoryVersions(spark, options.inventory).publish(roles, accounts, settings))
+        return
+
+    roles, accounts = inventories(spark, options, settings, run_ts)
+    if options.job == "stream-windows":
+        stream_windows(spark, options, roles, settings, trigger)
         return
     days = None
     if options.job == "tick":

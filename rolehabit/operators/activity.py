@@ -15,8 +15,8 @@ from rolehabit.sources.audit import spanned_days
 ACTIVITY = ("event_source", "event_name", "principal_id", "identity_type")
 
 
-def calls_of(records: DataFrame) -> DataFrame:
-    """The four fields of interest plus account, region and time."""
+def calls_of(records: DataFrame, *kept: str) -> DataFrame:
+    """The four fields of interest plus account, region and time, and columns to keep."""
     partitions = [c for c in ("year", "month", "day", "hour") if c in records.columns]
     return records.select(
         "account",
@@ -27,6 +27,7 @@ def calls_of(records: DataFrame) -> DataFrame:
         F.col("eventName").alias("event_name"),
         F.col("userIdentity.sessionContext.sessionIssuer.principalId").alias("principal_id"),
         F.col("userIdentity.type").alias("identity_type"),
+        *kept,
     )
 
 
@@ -114,9 +115,9 @@ def role_calls(calls: DataFrame) -> DataFrame:
     return calls.where(F.col("identity_type") == ROLE_BRANCH)
 
 
-def role_action_rows(calls: DataFrame) -> DataFrame:
+def role_action_rows(calls: DataFrame, *kept: str) -> DataFrame:
     """``(principal_id as role_id, action)`` of role calls, with repeats, and with
-    the tick and account where the calls carry them.
+    the tick and account where the calls carry them, and columns to keep.
 
     Role calls without a principal can match no role; leaving them out here keeps
     their one empty key from gathering in a single task of the join.
@@ -127,7 +128,7 @@ def role_action_rows(calls: DataFrame) -> DataFrame:
     return (
         role_calls(calls)
         .where(principal != "")
-        .select(principal.alias("role_id"), action.alias("action"), *carried)
+        .select(principal.alias("role_id"), action.alias("action"), *carried, *kept)
     )
 
 

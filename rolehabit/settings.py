@@ -99,6 +99,9 @@ class Settings:
     owner_as_list: bool = False
     """Emit ``account_owner`` as a one-element list instead of a text."""
 
+    topic: bool = False
+    """Wrap alerts and errors as messages of a topic."""
+
     index: str = "main"
     """Destination index named in the envelope."""
 

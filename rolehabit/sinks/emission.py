@@ -17,7 +17,7 @@ from rolehabit.settings import ALERT_SOURCETYPE, ERROR_SOURCETYPE, Settings
 def alert_lines(alerts: DataFrame, time: Column, settings: Settings = Settings()) -> DataFrame:
     """One enveloped alert per row, in a column ``value``."""
     body = envelope(alert_json(settings), ALERT_SOURCETYPE, epoch_fraction(time), settings)
-    return alerts.select(body.alias("value"))
+    return _in_form(alerts.select(body.alias("value")), settings)
 
 
 def error_lines(quarantine: DataFrame, time: Column, settings: Settings = Settings()) -> DataFrame:
@@ -25,7 +25,11 @@ def error_lines(quarantine: DataFrame, time: Column, settings: Settings = Settin
     the error source type."""
     event = error_json(F.col("reason"), F.col("content"), F.col("origin"))
     body = envelope(event, ERROR_SOURCETYPE, epoch_fraction(time), settings)
-    return quarantine.select(body.alias("value"))
+    return _in_form(quarantine.select(body.alias("value")), settings)
+
+
+def _in_form(lines: DataFrame, settings: Settings) -> DataFrame:
+    return for_topic(lines) if settings.topic else lines
 
 
 def for_topic(lines: DataFrame) -> DataFrame:

@@ -33,3 +33,11 @@ def create_marker(spark: SparkSession, path: str) -> None:
 def remove(spark: SparkSession, path: str) -> None:
     hadoop_path, fs = _resolve(spark, path)
     fs.delete(hadoop_path, True)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file, replacing one of that name."""
+    hadoop_path, fs = _resolve(spark, path)
+    out = fs.create(hadoop_path, True)
+    out.write(bytearray(text.encode()))
+    out.close()

@@ -1,8 +1,9 @@
 """Streaming queries: ingest, alerts from keyed state, ticks from micro-batches.
 
 A file source takes each file once, whenever it arrives, so there is no trailing
-window and no event is too late.  Inventories are those of the query's start and
-come from tables (``sinks.tables.written``): a stream cannot number export lines.
+window and no event is too late.  Inventories come from tables (``sinks.tables.written``):
+a stream cannot number export lines.  They are those of the query's start, or follow a
+store of versions.
 """
 
 from __future__ import annotations
@@ -19,12 +20,14 @@ from rolehabit.operators import activity, alerts
 from rolehabit.plans.tick import roles_in_scope, run_tick
 from rolehabit.schemas import PARTITIONS
 from rolehabit.settings import HOUR, Settings
-from rolehabit.sinks.emission import alert_lines, write_lines
+from rolehabit.sinks.emission import alert_lines, error_lines, write_lines
 from rolehabit.sinks.tables import written
 from rolehabit.sources import audit
 from rolehabit.sources.baseline import BaselineStore
 from rolehabit.sources.folders import create_marker, names_in
 from rolehabit.sources.inventory import selected_accounts
+from rolehabit.sources.versions import InventoryVersions
+from rolehabit.streaming.memory import remembered
 from rolehabit.streaming.stateful import new_actions, without_repeats
 
 
@@ -60,6 +63,23 @@ def start_ingest(
     )
 
 
+def start_errors(
+    files: DataFrame, output: str, checkpoint: str, trigger: dict, settings: Settings = Settings()
+) -> StreamingQuery:
+    """What of the audit files cannot be read, as error events, each exactly once.
+
+    Their time is that of the micro-batch, which a repeated one keeps."""
+    faults = audit.flatten(files).where(F.col("reason").isNotNull())
+    return (
+        error_lines(faults, F.current_timestamp(), settings)
+        .writeStream.format("text")
+        .option("path", output)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+        .start()
+    )
+
+
 def start_new_actions(
     calls: DataFrame,
     roles: DataFrame,
@@ -84,6 +104,38 @@ def start_new_actions(
     return _start(stream, write, checkpoint, trigger)
 
 
+def start_new_actions_by_role(
+    calls: DataFrame,
+    roles: DataFrame | InventoryVersions,
+    output: str,
+    checkpoint: str,
+    trigger: dict,
+    period: int = HOUR,
+    settings: Settings = Settings(),
+    evict: bool = False,
+    seed: BaselineStore | None = None,
+) -> StreamingQuery:
+    """The same with state kept per role.  Given versions of the inventory, a role counts
+    from the micro-batch on that takes in the version adding it."""
+    stream = _remembered(calls, roles, period, settings, evict, seed)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{output}/batch={batch_id}")
+
+    return _start(stream, write, checkpoint, trigger)
+
+
+def _remembered(
+    calls: DataFrame, roles: DataFrame | InventoryVersions, period: int, settings: Settings, evict: bool, seed: BaselineStore | None
+) -> DataFrame:
+    baseline = seed and seed.load(bucketed=False)
+    if isinstance(roles, DataFrame):
+        return remembered(role_action_stream(calls, roles, period, settings), settings, evict, baseline)
+    rows = activity.role_action_rows(activity.on_ticks(activity.in_scope(calls, settings), period))
+    rows = rows.mapInArrow(without_repeats, rows.schema)
+    return remembered(rows, settings, evict, baseline, roles.changes())
+
+
 def start_alerts(
     calls: DataFrame,
     roles: DataFrame,
@@ -112,18 +164,52 @@ def start_alerts(
     )
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        new = written(batch, f"{output}/new_actions/batch={batch_id}")
-        if not by_tick:
-            last = new.agg(F.max("tick")).first()[0]
-            new = new.select("role_id", "action").distinct().withColumn("tick", F.lit(last).cast("bigint"))
-        concerned = alerts.roles_with_news(roles, new)
-        records = alerts.alert_records(alerts.judged(new, concerned, settings), accounts)
-        lines = alert_lines(records, F.timestamp_seconds("tick"), settings)
-        write_lines(lines, f"{output}/alerts/batch={batch_id}")
+        _write_alerts(batch, batch_id, roles, accounts, output, settings, by_tick)
 
     return _start(stream, write, checkpoint, trigger)
 
 
+def start_alerts_following(
+    calls: DataFrame,
+    versions: InventoryVersions,
+    output: str,
+    checkpoint: str,
+    trigger: dict,
+    period: int = HOUR,
+    settings: Settings = Settings(),
+    evict: bool = False,
+    seed: BaselineStore | None = None,
+    by_tick: bool = False,
+) -> StreamingQuery:
+    """``start_alerts`` with inventories that change while the stream runs.
+
+    Which roles count is decided by changes in the keyed state; names, policies and
+    accounts come from the newest version when a micro-batch is first written, and a
+    repeated micro-batch takes that version again.
+    """
+    stream = _remembered(calls, versions, period, settings, evict, seed)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        version = versions.of_batch(checkpoint, batch_id)
+        roles, accounts = versions.roles(version), versions.accounts(version)
+        _write_alerts(batch, batch_id, roles, accounts, output, settings, by_tick)
+
+    return _start(stream, write, checkpoint, trigger)
+
+
+def _write_alerts(
+    batch: DataFrame, batch_id: int, roles: DataFrame, accounts: DataFrame, output: str, settings: Settings, by_tick: bool
+) -> None:
+    new = written(batch, f"{output}/new_actions/batch={batch_id}")
+    if not by_tick:
+        last = new.agg(F.max("tick")).first()[0]
+        new = new.select("role_id", "action").distinct().withColumn("tick", F.lit(last).cast("bigint"))
+    concerned = alerts.roles_with_news(roles, new)
+    records = alerts.alert_records(alerts.judged(new, concerned, settings), accounts)
+    lines = alert_lines(records, F.timestamp_seconds("tick"), settings)
+    write_lines(lines, f"{output}/alerts/batch={batch_id}")
+
+
 def start_ticks(
     calls: DataFrame,
     roles: DataFrame,

@@ -12,6 +12,52 @@ def call(at, name, principal="AROAX"):
     return record
 
 
+def put_exports(folder, roles):
+    rows = {
+        "accounts": [{"Id": "1", "Name": "One", "Email": "one@x", "Status": "ACTIVE"}],
+        "roles": [
+            {
+                "account": "1", "Arn": f"arn:aws:iam::1:role/{name}", "RoleName": name, "RoleId": name, "CreateDate": "2020-01-01T00:00:00Z",
+                "AssumeRolePolicyDocument": {"Statement": [{"Principal": {"AWS": ["x"]}}]},
+            }
+            for name in roles
+        ],
+    }
+    for name, found in rows.items():
+        (folder / name).mkdir(exist_ok=True)
+        (folder / name / "export.json").write_text("\n".join(map(json.dumps, found)))
+
+
+def test_stream_follows_published_inventories(spark, tmp_path):
+    def run(job, *needs, more=()):
+        places = [arg for need in needs for arg in (f"--{need}", str(tmp_path / need))]
+        main([job, *places, "--business", "retail", "--once", *more])
+
+    def lines(folder):
+        return [json.loads(json.loads(r.value)["default"]) for r in spark.read.text(str(tmp_path / "output" / folder)).collect()]
+
+    stream = ("stream-alerts", "logs", "inventory", "output", "checkpoint")
+    put_exports(tmp_path, ["AROAX"])
+    run("publish-inventory", "roles", "accounts", "inventory")
+    put_audit_file(tmp_path / "logs", [call("2024-01-02T11:00:00Z", "A"), call("2024-01-02T11:00:00Z", "B", "LATER")])
+    put_audit_file(tmp_path / "logs", "{not json", name="bad.json")
+    run(*stream, more=["--topic"])
+    put_exports(tmp_path, ["AROAX", "LATER"])
+    run("publish-inventory", "roles", "accounts", "inventory")
+    put_audit_file(tmp_path / "logs", [call("2024-01-02T12:00:00Z", "B", "LATER"), call("2024-01-02T12:00:00Z", "A")], name="y.json")
+    run(*stream, more=["--topic"])
+    events = [json.loads(line["event"]) for line in lines("alerts")]
+    assert sorted((e["principalId"], e["role_actions"]) for e in events) == [
+        ("AROAX", ["s3.amazonaws.com:A"]),
+        ("LATER", ["s3.amazonaws.com:B"]),
+    ]
+    (error,) = lines("errors")  # a file that cannot be read is a line of its own
+    assert error["sourcetype"] == "lambda:cloudtrailanomaly:error" and "not json" in error["event"]
+
+    run("stream-windows", "logs", "roles", "accounts", "output", more=["--checkpoint", str(tmp_path / "c2"), "--progress", str(tmp_path / "p"), "--delay", "60"])
+    assert [r.input_rows for r in spark.read.json(str(tmp_path / "p")).collect()] == [3]  # files
+
+
 def test_files_to_alerts(spark, tmp_path):
     logs = tmp_path / "logs"
     names = ["PutObject", "GetObject", "ListBucket", "DeleteObject", "GetAcl"]
