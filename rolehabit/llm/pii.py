@@ -61,6 +61,12 @@ def emails(text: str) -> Iterator[tuple[int, int]]:
         at = text.find("@", max(at + 1, free))
 
 
+def _byte(digits: str) -> bool:
+    """At most 255, however many zeros come first."""
+    bare = digits.lstrip("0")
+    return len(bare) <= 3 and int(bare or "0") <= 255
+
+
 def luhn(digits: str) -> bool:
     total = sum(map(int, digits[-1::-2]))
     return (total + sum(d - 9 if d > 9 else d for d in (2 * int(c) for c in digits[-2::-2]))) % 10 == 0
@@ -70,7 +76,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) in code points, by kind and then start; matches that fail a test are dropped."""
     found = [("email", a, b) for a, b in emails(text)]
     for m in _IP.finditer(text):
-        if all(len(p) <= 3 + p.startswith("0") * len(p) and int(p) <= 255 for p in m[0].split(".")):
+        if all(map(_byte, m[0].split("."))):
             found.append(("ip", *m.span()))
     for m in _CARD.finditer(text):
         if len(m[0]) >= 13 and 13 <= len(digits := _NOT_DIGITS.sub("", m[0])) <= 19 and luhn(digits):
