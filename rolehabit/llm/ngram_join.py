@@ -26,7 +26,7 @@ from operator import add
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rolehabit.llm.common import map_batches, query, stored, table
@@ -184,36 +184,45 @@ def prefixes(docs: DataFrame, text: str, counts: np.ndarray) -> DataFrame:
     return map_batches(docs.select(text), batches, f"node long, n long, wanted int, tokens array<long>, {', '.join(f'{c} long' for c in ODD)}")
 
 
+#: Pairs of one centre that are compared in one go.
+TOGETHER = 256
+
+
 def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, key: str, text: str) -> DataFrame:
-    """Those of the pairs (a, b) of nodes whose similarity is high enough, by their whole sets."""
-    asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    wanted = nodes.join(asked, "node").select(F.col("first").alias("k")).distinct()
-    texts = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).join(wanted, "k", "left_semi").select("t")
+    """Those of the pairs (a, b) of nodes whose similarity is high enough, by their whole sets.
 
-    def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in rows:
-            sets = [shingles(v.as_py()) for v in batch.column(0)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([node_of(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
-                ["node", "found"],
-            )
+    Texts travel, which take less than their sets: that of a once for each pair, that of
+    the centre b once for up to ``TOGETHER`` pairs or so.  A task holds one centre's set.
+    """
+    of_centre = Window.partitionBy("b")
+    dealt = pairs.withColumn("salts", F.ceil(F.count("*").over(of_centre) / TOGETHER).cast("int"))
+    dealt = stored(dealt.withColumn("salt", F.pmod(F.xxhash64("a"), "salts").cast("int")).drop("salts"), "dealt")
+    members = dealt.select(F.col("a").alias("node"), F.col("b").alias("centre"), "salt", F.lit(1).alias("role"))
+    centres = dealt.select(F.col("b").alias("node"), F.col("b").alias("centre"), "salt", F.lit(0).alias("role")).distinct()
+    asked = members.union(centres).join(nodes.select("node", F.col("first").alias("k")), "node")
+    texts = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).join(asked, "k").select("centre", "salt", "role", "node", "t")
+    texts = texts.repartition("centre", "salt").sortWithinPartitions("centre", "salt", "role")
 
     def compare(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, x = None, np.empty(0, np.uint64)
         for batch in rows:
-            keep = []
-            for one, two in zip(batch.column("one"), batch.column("two"), strict=True):
-                x, y = (np.frombuffer(v.as_py(), np.uint64) for v in (one, two))
-                both = np.concatenate((x, y))
-                both.sort()
-                shared = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * shared >= PERCENT * (len(x) + len(y) - shared))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    # two rows may have one key but different texts, or one text twice
-    sets = stored(map_batches(texts, batches, "node long, found binary"), "sets")
-    left = pairs.join(sets.select(F.col("node").alias("a"), F.col("found").alias("one")), "a")
-    both = left.join(sets.select(F.col("node").alias("b"), F.col("found").alias("two")), "b")
-    return map_batches(both.select("a", "b", "one", "two"), compare, "a long, b long").distinct()
+            a, b = [], []
+            for centre, role, node, value in zip(*(batch.column(c) for c in ("centre", "role", "node", "t")), strict=True):
+                centre, node, y = centre.as_py(), node.as_py(), shingles(value.as_py())
+                if node_of(y) != node:  # two rows may have one key but different texts
+                    continue
+                if not role.as_py():
+                    held, x = centre, y
+                elif held == centre:
+                    both = np.concatenate((x, y))
+                    both.sort()
+                    shared = int((both[1:] == both[:-1]).sum())
+                    if 100 * shared >= PERCENT * (len(x) + len(y) - shared):
+                        a.append(node)
+                        b.append(centre)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return map_batches(texts, compare, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -231,17 +240,22 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         rows.where("n > 0 and key is not null").groupBy("node").agg(F.min("key").alias("first"), F.max("n").alias("n")), "nodes"
     )
     prefixed = stored(prefixes(docs.where(F.col(key).isNotNull()), text, counts), "prefixes")
-    tokens = prefixed.select("node", F.col("n").cast("int").alias("n"), "wanted", F.explode("tokens").alias("token"))
-    shared = tokens.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("many"))
-    # from here on only shingles that two sets have
-    lists = stored(tokens.join(shared.where("low <> high").drop("low", "high"), "token").distinct(), "lists")
-
-    # a shingle's leader is the set among its own whose whole prefix is shared most: what copies were made from
+    # one exchange of narrow rows by token; what follows has only shingles that two sets have
+    of_token, of_node = Window.partitionBy("token"), Window.partitionBy("node")
+    tokens = prefixed.select("node", F.explode("tokens").alias("token")).withColumns(
+        {"low": F.min("node").over(of_token), "high": F.max("node").over(of_token), "many": F.count("*").over(of_token)}
+    )
+    shared = tokens.where("low <> high").select("token", "node", "many").distinct()
+    sizes = prefixed.select("node", F.col("n").cast("int").alias("n"), "wanted").distinct()
+    # central sets share most of their whole prefix
     width = F.col("n") - F.ceil(F.lit(PERCENT) * F.col("n") / 100) + F.col("wanted")
-    central = lists.groupBy("node").agg((F.sum("many") / F.first(width)).alias("central"))
-    leaders = lists.join(central, "node").groupBy("token").agg(F.max_by("node", F.struct("central", "node")).alias("leader"))
+    lists = shared.join(sizes, "node").withColumn("central", F.sum("many").over(of_node) / width)
+    lists = stored(lists.drop("many"), "lists")
+
+    # a shingle's leader is the most central set of its own: what copies were made from
+    leader = F.max(F.struct("central", "node")).over(of_token)["node"]
     stars = (
-        lists.join(leaders, "token").where("node <> leader")
+        lists.withColumn("leader", leader).where("node <> leader")
         .groupBy(F.col("node").alias("a"), "leader")
         .agg(F.count("*").alias("c"), F.max("n").alias("n"))
         .where(F.col("c") * 4 * 100 >= F.col("n") * (100 - PERCENT))
@@ -252,7 +266,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     grouped = components(near)
 
     known = prefixed.select("node", *ODD).distinct().join(grouped, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    placed = stored(lists.drop("many").join(known, "node"), "placed")
+    placed = stored(lists.drop("central").join(known, "node"), "placed")
     split = placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("token")
     placed = placed.join(split, "token", "left_semi")
     other = placed.select("token", *(F.col(c).alias(f"{c}_2") for c in ("node", "n", "wanted", "component", *ODD)))
