@@ -269,16 +269,22 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     placed = stored(lists.drop("central").join(known, "node"), "placed")
     split = placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("token")
     placed = placed.join(split, "token", "left_semi")
-    other = placed.select("token", *(F.col(c).alias(f"{c}_2") for c in ("node", "n", "wanted", "component", *ODD)))
+    # shingles that stand in the prefixes of the same sets, such as those of a passage, count as one of that weight
+    of_sets = {f"list_{i}": F.bit_xor(F.xxhash64(F.lit(i), "node")).over(of_token) for i in (1, 2)}
+    lists = ["list_1", "list_2"]
+    of_set = [F.first(c).alias(c) for c in ("n", "wanted", "component", *ODD)]
+    placed = placed.withColumns(of_sets).groupBy(*lists, "node").agg(F.count("*").alias("weight"), *of_set)
+    placed = stored(placed, "merged")
+    other = placed.drop("weight").withColumnsRenamed({c: f"{c}_2" for c in ("node", "n", "wanted", "component", *ODD)})
     # linked sets differ in at most a ninth of their sizes' sum: s shared of a + b - s are 80 % from s = 4 (a + b) / 9 on
     differ = reduce(add, (F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}_2"))) for c in ODD))
     pairs = (
-        placed.join(other, "token")
+        placed.join(other, lists)
         .where("node < node_2 and component <> component_2")
         .where(f"100 * least(n, n_2) >= {PERCENT} * greatest(n, n_2)")
         .where(differ * (100 + PERCENT) <= (F.col("n") + F.col("n_2")) * (100 - PERCENT))
         .groupBy(F.col("node").alias("a"), F.col("node_2").alias("b"))
-        .agg(F.count("*").alias("c"), F.max(F.least("wanted", "wanted_2")).alias("w"))
+        .agg(F.sum("weight").alias("c"), F.max(F.least("wanted", "wanted_2")).alias("w"))
         .where("c >= w")
         .select("a", "b")
     )
