@@ -43,6 +43,7 @@ ONCE = (
     "run_counters",
     "tick_lifecycle",
     "stream_new_actions",
+    "stream_role_memory",
     "stream_alerts",
 )
 
