@@ -3,18 +3,22 @@
 Base findings are fixed patterns: e-mail, IP address, card and phone numbers.
 
 Method for the rest: information-theoretic sanitisation.  Each distinct base value is a
-protected entity e.  A term t that stands within ``REACH`` characters of it discloses
+protected entity e.  A term t discloses
 
     log(P(e | t) / P(e)) / log(1 / P(e))
 
-of the information that names e, with P(e | t) the share of the documents with t that have
-t beside e, and P(e) the share of all documents with e.  Where at least ``CONTEXTS``
-different surroundings speak for it, so that copies prove nothing, and the share reaches
-``DISCLOSURE``, the term is a finding too, in the documents that hold e.
-
-Texts stay where they are: what is shuffled are surroundings of base findings, counts of
-terms that may matter (kept back by a filter of fixed size, then joined exactly), and
-the additions of single texts.
+of the information that names e, with P(e) the share of the texts that hold e, and P(e | t)
+that of the texts with t, smoothed by ``WEIGHT`` texts of which P(e) hold e.  Where the share
+reaches ``DISCLOSURE`` and no more than ``LEFT`` bits about e are left, the term is a finding in
+every text that holds it, with or without e.  Repeated texts count once, so copies prove
+nothing.  A word seen in one text alone
+names a rare entity of that text within a bit.
+
+Texts stay where they are.  What is shuffled are hashes: the entities of texts, counts of
+terms added up by task, and the terms of texts with entities that are rare enough to matter.
+Entities held by the same texts are one class, so that a long list of addresses meets
+the terms beside it once.  Filters of fixed size hold back what cannot matter; what passes is
+joined exactly.
 """
 
 from __future__ import annotations
@@ -22,6 +26,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +37,8 @@ from pyspark.sql import functions as F
 from rolehabit.llm.common import map_batches, query, stored, table
 
 KINDS = ("email", "ip", "card", "phone")
-REACH, CONTEXTS, DISCLOSURE = 80, 3, 0.8
-#: Bits of the filter that holds candidate terms back; 1 MB whatever the corpus.
+WEIGHT, DISCLOSURE, LEFT = 1.0, 0.8, 1.0
+#: Bits of each filter; 1 MB whatever the corpus.
 FILTER_BITS = 1 << 23
 #: Counts a task holds before it passes them on.
 HELD = 1 << 18
@@ -110,120 +115,133 @@ def terms_of(text: str, spans: list[tuple[str, int, int]]) -> Iterator[re.Match]
             yield word
 
 
-def _bit(term: str) -> int:
-    return xxhash.xxh3_64_intdigest(term) % FILTER_BITS
+@lru_cache(maxsize=1 << 16)
+def _hash(term: str) -> int:
+    return xxhash.xxh3_64_intdigest(term) - (1 << 63)
 
 
-def _flushed(counts: Counter, names: list[str], types: list[pa.DataType]) -> pa.RecordBatch:
-    columns = list(zip(*((*k, n) for k, n in counts.items()), strict=True)) or [[] for _ in names]
-    counts.clear()
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
+def _terms(text: str, spans: list[tuple[str, int, int]]) -> set[int]:
+    words = {w[0] for w in terms_of(text, spans)} if spans else set(_TERM.findall(text))
+    return {_hash(w.lower()) for w in words}
 
 
-def _surroundings(texts: DataFrame) -> DataFrame:
-    """(entity, term, context, n): each term beside each entity, and a null term for the entity itself.
+def _batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [[] for _ in names]
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
 
-    n counts the documents of a task where this is the first such surrounding of the two,
-    so that the sum over all contexts is a number of documents.
-    """
 
-    def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
-        names, types = ["entity", "term", "context", "n"], [pa.int64(), pa.string(), pa.int64(), pa.int64()]
-        for batch in rows:
-            for text in batch.column(0).to_pylist():
-                spans = base_spans(text)
-                seen = set()
-                for entity, a, b in entities(text, spans):
-                    low, high = max(0, a - REACH), min(len(text), b + REACH)
-                    near = [(k, max(0, x - low), y - low) for k, x, y in spans if x < high and y > low]
-                    words = [
-                        w[0].lower() for w in terms_of(text[low:high], near)
-                        if (w.start() or not low) and (w.end() < high - low or high == len(text))
-                    ]
-                    context = xxhash.xxh3_64_intdigest(" ".join(words)) - (1 << 63)
-                    for term in {None, *words}:
-                        counts[entity, term, context] += (entity, term) not in seen
-                        seen.add((entity, term))
-            if len(counts) > HELD:
-                yield _flushed(counts, names, types)
-        yield _flushed(counts, names, types)
-
-    return map_batches(texts, batches, "entity long, term string, context long, n long")
-
-
-def _term_counts(texts: DataFrame, bits: bytes) -> DataFrame:
-    """(term, texts): how many documents hold each term that passes the filter."""
-    shared = texts.sparkSession.sparkContext.broadcast(bits)  # FILTER_BITS / 8 bytes
+def _filter(frame: DataFrame, column: str) -> bytes:
+    """A field of ``FILTER_BITS`` bits with those of a column of hashes set."""
+    marks = np.zeros(FILTER_BITS, np.uint8)
+    bits = frame.select(F.pmod(column, F.lit(FILTER_BITS)).cast("int").alias("bit")).distinct()
+    for row in bits.groupBy((F.col("bit") / 4096).cast("int")).agg(F.collect_list("bit").alias("bits")).toLocalIterator():
+        marks[row.bits] = 1
+    return np.packbits(marks, bitorder="little").tobytes()
+
+
+def _in(bits: bytes, key: int) -> int:
+    place = key % FILTER_BITS
+    return bits[place >> 3] >> (place & 7) & 1
 
-    def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.unpackbits(np.frombuffer(shared.value, np.uint8), bitorder="little")
-        counts: Counter = Counter()
-        for batch in rows:
-            for text in batch.column(0).to_pylist():
-                counts.update((t,) for t in {w.lower() for w in _TERM.findall(text)} if held[_bit(t)])
-            if len(counts) > HELD:
-                yield _flushed(counts, ["term", "n"], [pa.string(), pa.int64()])
-        yield _flushed(counts, ["term", "n"], [pa.string(), pa.int64()])
 
-    return map_batches(texts, batches, "term string, n long").groupBy("term").agg(F.sum("n").alias("texts"))
+def _digested(docs: DataFrame, text: str) -> DataFrame:
+    return docs.select(F.xxhash64(text).alias("digest"), F.col(text).alias("t")).where("t is not null")
 
 
-def _bits_of(terms: DataFrame) -> bytes:
-    """The terms as a bit field of fixed size."""
+def _facts(texts: DataFrame, copied: bytes) -> DataFrame:
+    """(digest, entity, term, n): each text's entities, and how many texts hold each term.
+
+    Counts are added up within a task under a null digest; texts that may have copies
+    elsewhere keep theirs.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast(copied)
+    names = ["digest", "entity", "term", "n"]
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, counts = shared.value, Counter()
         for batch in rows:
-            yield pa.RecordBatch.from_arrays([pa.array([_bit(t) for t in batch.column(0).to_pylist()], pa.int32())], ["bit"])
+            for digest, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                spans = base_spans(text)
+                for entity, _, _ in entities(text, spans):
+                    counts[digest, entity, None] = 1
+                if _in(bits, digest):
+                    for term in _terms(text, spans):
+                        counts[digest, None, term] = 1
+                else:
+                    counts.update((None, None, term) for term in _terms(text, spans))
+                if len(counts) > HELD:
+                    yield _batch([(*k, n) for k, n in counts.items()], names)
+                    counts.clear()
+        yield _batch([(*k, n) for k, n in counts.items()], names)
+
+    return map_batches(texts, batches, "digest long, entity long, term long, n long")
+
+
+def _held(texts: DataFrame, terms: bytes, digests: bytes | None = None) -> DataFrame:
+    """(digest, term): the terms of each text that pass a filter, of texts that pass another."""
+    context = texts.sparkSession.sparkContext
+    wanted, among = context.broadcast(terms), context.broadcast(digests)
 
-    marks = np.zeros(FILTER_BITS, np.uint8)
-    bits = map_batches(terms, batches, "bit int").distinct().groupBy((F.col("bit") / 4096).cast("int").alias("page")).agg(F.collect_list("bit").alias("bits"))
-    for row in bits.toLocalIterator():  # FILTER_BITS bits in pages of 4,096
-        marks[row.bits] = 1
-    return np.packbits(marks, bitorder="little").tobytes()
+    def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, some = wanted.value, among.value
+        for batch in rows:
+            for digest, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if some is not None and not _in(some, digest):
+                    continue
+                found = [(digest, term) for term in _terms(text, base_spans(text)) if _in(bits, term)]
+                if found:
+                    yield _batch(found, ["digest", "term"])
+
+    return map_batches(texts, batches, "digest long, term long").distinct()
 
 
 def disclosing_terms(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(entity, term) where the term gives the entity away, by counts over all documents."""
-    texts = docs.select(F.col(text).alias("t")).where("t is not null")
-    beside = stored(_surroundings(texts), "beside")
-    near = beside.where("term is not null").groupBy("entity", "term").agg(F.count_distinct("context").alias("contexts"), F.sum("n").alias("together"))
-    near = stored(near.where(F.col("contexts") >= CONTEXTS), "near")
-    counts = _term_counts(texts, _bits_of(near.select("term")))
-    holders = beside.where("term is null").groupBy("entity").agg(F.sum("n").alias("holders"))
-    total = max(2, texts.count())
-    share = F.log(F.col("together") / F.col("texts") * total / F.col("holders")) / F.log(total / F.least("holders", F.lit(total - 1)))
-    return near.join(counts, "term").join(holders, "entity").where(share >= DISCLOSURE).select("entity", "term")
+    """(term): hashes of the terms that give an entity away, by counts over all texts."""
+    texts = _digested(docs, text)
+    copies = stored(texts.groupBy("digest").count(), "copies")
+    total = max(2, copies.count())
+    facts = stored(_facts(texts, _filter(copies.where("count > 1"), "digest")), "facts")
+    beside = facts.where("entity is not null").select("digest", "entity").distinct()
+    by_holders = beside.groupBy("entity").agg(
+        F.count("digest").alias("holders"), *(F.bit_xor(F.xxhash64("digest", F.lit(k))).alias(f"x{k}") for k in (1, 2))
+    )
+    group = F.xxhash64("holders", "x1", "x2").alias("class")
+    classes = stored(beside.join(by_holders, "entity").select("digest", group, "holders").distinct(), "classes")
+    most = classes.agg(F.max("holders")).first()[0] or 0
+    number = F.when(F.col("digest").isNull(), F.col("n")).otherwise(1)
+    counts = (
+        facts.where("term is not null").groupBy("term", "digest").agg(F.sum("n").alias("n"))
+        .groupBy("term").agg(F.sum(number).alias("texts"))
+    )
+    # P(e | t) above 1/2 ** LEFT leaves a term that few more texts hold than its entity
+    bound = lambda holders: (holders + WEIGHT) * 2**LEFT
+    rare = stored(counts.where(F.col("texts") <= bound(F.lit(most))), "rare")
+    held = _held(texts, _filter(rare, "term"), _filter(classes, "digest")).join(rare, "term")
+    pairs = held.join(classes, "digest").where(F.col("texts") <= bound(F.col("holders")))
+    pairs = pairs.groupBy("class", "holders", "term", "texts").agg(F.count("digest").alias("together"))
+    prior = F.least("holders", F.lit(total - 1)) / total
+    given = (F.col("together") + WEIGHT * prior) / (F.col("texts") + WEIGHT)
+    discloses = (F.log(given / prior) >= DISCLOSURE * F.log(1 / prior)) & (-F.log2(given) <= LEFT)
+    return pairs.where(discloses).select("term").distinct()
 
 
 def with_additions(docs: DataFrame, text: str = "text", name: str = "__terms") -> DataFrame:
-    """``docs`` with one more column: the disclosing terms among each text's own words, or null."""
+    """``docs`` with one more column: hashes of the disclosing terms among each text's words, or null."""
     known = stored(disclosing_terms(docs, text), "disclosing")
-    texts = docs.select(F.xxhash64(text).alias("digest"), F.col(text).alias("t")).where("t is not null")
-
-    def holding(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in rows:
-            found = set()
-            for digest, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                found.update((digest, e) for e, _, _ in entities(t, base_spans(t)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([d for d, _ in found], pa.int64()), pa.array([e for _, e in found], pa.int64())], ["digest", "entity"]
-            )
-
     if known.isEmpty():
-        return docs.withColumn(name, F.lit(None).cast("array<string>"))
-    held = map_batches(texts, holding, "digest long, entity long").distinct()
-    # a text's terms: at most those beside its own entities anywhere
-    added = stored(held.join(known, "entity").groupBy("digest").agg(F.collect_set("term").alias("terms")), "added")
+        return docs.withColumn(name, F.lit(None).cast("array<bigint>"))
+    held = _held(_digested(docs, text), _filter(known, "term")).join(known, "term")
+    # a text's terms are at most its own words
+    added = stored(held.groupBy("digest").agg(F.collect_set("term").alias("terms")), "added")
     added = added.select(F.col("digest").alias("__digest"), F.col("terms").alias(name))
     return docs.withColumn("__text_digest", F.xxhash64(text)).join(added, F.col("__text_digest") == F.col("__digest"), "left").drop("__digest", "__text_digest")
 
 
-def all_spans(text: str, terms: list[str] | None) -> list[tuple[str, int, int]]:
+def all_spans(text: str, terms: list[int] | None) -> list[tuple[str, int, int]]:
     spans = base_spans(text)
-    if terms and spans:
+    if terms:
         wanted = set(terms)
-        spans = spans + [("term", *w.span()) for w in terms_of(text, spans) if w[0].lower() in wanted]
+        spans = spans + [("term", *w.span()) for w in terms_of(text, spans) if _hash(w[0].lower()) in wanted]
     return spans
 
 
@@ -249,7 +267,7 @@ def find(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     return map_batches(with_additions(docs.select(key, text), text), batches, schema)
 
 
-def sanitised(text: str, terms: list[str] | None) -> str:
+def sanitised(text: str, terms: list[int] | None) -> str:
     """The text with every finding replaced by its kind; overlapping ones by the first one's."""
     out, reached = [], 0
     for kind, a, b in sorted(all_spans(text, terms), key=lambda s: (s[1], -s[2])):

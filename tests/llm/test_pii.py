@@ -1,6 +1,7 @@
 """Base findings against the plain patterns, terms against counts by hand."""
 
 import hashlib
+import math
 import random
 import re
 
@@ -46,22 +47,66 @@ def test_query_equals_the_patterns(spark, sf_dir):
         assert [s for s in r.spans.split(",") if s and not s.startswith("term")] == [s for s in joined.split(",") if s]
 
 
+def plain_terms(texts):
+    """Disclosing terms by counts over distinct texts, entity by entity."""
+    held = []
+    for t in {t for t in texts if t is not None}:
+        spans = pii.base_spans(t)
+        held.append(({(k, t[a:b].lower()) for k, a, b in spans}, {w[0].lower() for w in pii.terms_of(t, spans)}))
+    total = max(2, len(held))
+    found = set()
+    for e in set().union(*(h[0] for h in held)):
+        prior = min(sum(e in es for es, _ in held), total - 1) / total
+        for t in set().union(*(ts for es, ts in held if e in es)):
+            with_t = [es for es, ts in held if t in ts]
+            given = (sum(e in es for es in with_t) + pii.WEIGHT * prior) / (len(with_t) + pii.WEIGHT)
+            if math.log(given / prior) >= pii.DISCLOSURE * math.log(1 / prior) and -math.log2(given) <= pii.LEFT:
+                found.add(t)
+    return found
+
+
 def test_terms_that_name_an_entity(spark):
     words = ["alpha", "beta", "gamma", "delta", "omega"]
     texts = [f"the zebrafinch {w} wrote from k.m@x.org with the {w}" for w in words]
     texts += [f"the {w} and nothing else {i}" for i, w in enumerate(words * 20)]
     texts += ["the alpha zebrafinch without", None, "", texts[0], "Zebrafinch far " + "away " * 40 + "k.m@x.org"]
     docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)] + [(None, "a@b.c", "y")], "doc_id long, text string, spans string")
-    known = {r.term for r in pii.disclosing_terms(docs).collect()}
+    known = plain_terms([*texts, "a@b.c"])
     assert known == {"zebrafinch", "wrote", "from", "with"}
+    assert {r.term for r in pii.disclosing_terms(docs).collect()} == {pii._hash(t) for t in known}
     found = {r.doc_id: r for r in pii.find(docs).collect()}
     assert len(found) == len(texts) + 1
     assert [s.start for s in found[0].spans if s.kind == "term"] == [4, 21, 27, 42]
-    assert found[105].n_term == 0  # it holds no entity: left alone
-    assert found[len(texts) - 1].n_term == 1
+    assert [(s.kind, s.start) for s in found[105].spans] == [("term", 10)]  # the name alone, without its address
+    assert all(found[i].n_term == 0 for i in range(5, 105))
     clean = {r.doc_id: (r.text, r.spans) for r in pii.sanitise(docs).collect()}
     assert clean[1][0] == "the [TERM] beta [TERM] [TERM] [EMAIL] [TERM] the beta"
-    assert clean[10] == (texts[10], "x") and clean[106][0] is None and clean[None][0] == "[EMAIL]"
+    assert clean[105][0] == "the alpha [TERM] without" and clean[10] == (texts[10], "x")
+    assert clean[106][0] is None and clean[None][0] == "[EMAIL]"
+
+
+def test_terms_equal_counts_by_hand(spark, sf_dir):
+    draw = random.Random(8)
+    people, common = [f"person{i}" for i in range(12)], [f"word{i}" for i in range(30)]
+    texts = []
+    for _ in range(300):
+        who = draw.choice(people)
+        parts = draw.choices(common, k=6) + draw.choices([f"{who} {who}@mail.org"] * 3 + [who, "10.0.0.1", f"rare{draw.randrange(400)}"], k=2)
+        texts += [" ".join(draw.sample(parts, len(parts)))] * draw.choice([1, 1, 1, 4])
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(5)
+    known = plain_terms(texts)
+    assert known & set(people) and {r.term for r in pii.disclosing_terms(docs).collect()} == {pii._hash(t) for t in known}
+    given = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    known = plain_terms([r.text for r in given.collect()])
+    assert {r.term for r in pii.disclosing_terms(given).collect()} == {pii._hash(t) for t in known}
+
+
+def test_copies_prove_nothing(spark):
+    """Fifty copies of a text weigh as one; a list of addresses meets its text's terms once."""
+    texts = ["lone k.m@x.org"] * 50 + [f"lone other{i}" for i in range(3)] + [f"filler{i}" for i in range(40)]
+    texts.append("listing " + " ".join(f"a{i}@x.org" for i in range(3000)))
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(4)
+    assert {r.term for r in pii.disclosing_terms(docs).collect()} == {pii._hash("listing")}
 
 
 def test_lengths_and_empty(spark):
