@@ -25,7 +25,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Collection, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -42,6 +42,8 @@ WEIGHT, DISCLOSURE, LEFT = 1.0, 0.8, 1.0
 FILTER_BITS = 1 << 23
 #: Counts a task holds before it passes them on.
 HELD = 1 << 18
+#: Disclosing terms sent to every task, 4 MB of hashes; more are joined to the texts that hold them.
+SENT = 1 << 19
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -115,14 +117,13 @@ def terms_of(text: str, spans: list[tuple[str, int, int]]) -> Iterator[re.Match]
             yield word
 
 
-@lru_cache(maxsize=1 << 16)
+@lru_cache(maxsize=1 << 18)
 def _hash(term: str) -> int:
     return xxhash.xxh3_64_intdigest(term) - (1 << 63)
 
 
-def _terms(text: str, spans: list[tuple[str, int, int]]) -> set[int]:
-    words = {w[0] for w in terms_of(text, spans)} if spans else set(_TERM.findall(text))
-    return {_hash(w.lower()) for w in words}
+def _words(text: str, spans: list[tuple[str, int, int]] = ()) -> set[str]:
+    return {w.lower() for w in ({m[0] for m in terms_of(text, spans)} if spans else set(_TERM.findall(text)))}
 
 
 def _batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
@@ -158,21 +159,25 @@ def _facts(texts: DataFrame, copied: bytes) -> DataFrame:
     names = ["digest", "entity", "term", "n"]
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, counts = shared.value, Counter()
+        bits, counts, own = shared.value, Counter(), set()
+
+        def flushed() -> pa.RecordBatch:
+            rows = [*own, *((None, None, _hash(w), n) for w, n in counts.items())]
+            own.clear()
+            counts.clear()
+            return _batch(rows, names)
+
         for batch in rows:
             for digest, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 spans = base_spans(text)
-                for entity, _, _ in entities(text, spans):
-                    counts[digest, entity, None] = 1
+                own.update((digest, entity, None, 1) for entity, _, _ in entities(text, spans))
                 if _in(bits, digest):
-                    for term in _terms(text, spans):
-                        counts[digest, None, term] = 1
+                    own.update((digest, None, _hash(w), 1) for w in _words(text, spans))
                 else:
-                    counts.update((None, None, term) for term in _terms(text, spans))
-                if len(counts) > HELD:
-                    yield _batch([(*k, n) for k, n in counts.items()], names)
-                    counts.clear()
-        yield _batch([(*k, n) for k, n in counts.items()], names)
+                    counts.update(_words(text, spans))
+                if len(counts) + len(own) > HELD:
+                    yield flushed()
+        yield flushed()
 
     return map_batches(texts, batches, "digest long, entity long, term long, n long")
 
@@ -188,7 +193,7 @@ def _held(texts: DataFrame, terms: bytes, digests: bytes | None = None) -> DataF
             for digest, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if some is not None and not _in(some, digest):
                     continue
-                found = [(digest, term) for term in _terms(text, base_spans(text)) if _in(bits, term)]
+                found = [(digest, term) for term in map(_hash, _words(text, base_spans(text))) if _in(bits, term)]
                 if found:
                     yield _batch(found, ["digest", "term"])
 
@@ -208,11 +213,9 @@ def disclosing_terms(docs: DataFrame, text: str = "text") -> DataFrame:
     group = F.xxhash64("holders", "x1", "x2").alias("class")
     classes = stored(beside.join(by_holders, "entity").select("digest", group, "holders").distinct(), "classes")
     most = classes.agg(F.max("holders")).first()[0] or 0
-    number = F.when(F.col("digest").isNull(), F.col("n")).otherwise(1)
-    counts = (
-        facts.where("term is not null").groupBy("term", "digest").agg(F.sum("n").alias("n"))
-        .groupBy("term").agg(F.sum(number).alias("texts"))
-    )
+    of_copies = facts.where("term is not null and digest is not null").select("term", "n", "digest").distinct().drop("digest")
+    counts = facts.where("term is not null and digest is null").select("term", "n").union(of_copies)
+    counts = counts.groupBy("term").agg(F.sum("n").alias("texts"))
     # P(e | t) above 1/2 ** LEFT leaves a term that few more texts hold than its entity
     bound = lambda holders: (holders + WEIGHT) * 2**LEFT
     rare = stored(counts.where(F.col("texts") <= bound(F.lit(most))), "rare")
@@ -225,19 +228,33 @@ def disclosing_terms(docs: DataFrame, text: str = "text") -> DataFrame:
     return pairs.where(discloses).select("term").distinct()
 
 
-def with_additions(docs: DataFrame, text: str = "text", name: str = "__terms") -> DataFrame:
-    """``docs`` with one more column: hashes of the disclosing terms among each text's words, or null."""
+def with_additions(docs: DataFrame, text: str = "text", name: str = "__terms") -> tuple[DataFrame, Callable]:
+    """``docs`` with one more column, and a function of a text and its value there.
+
+    It gives the hashes of the disclosing terms among the words of the text.  Up to ``SENT`` terms
+    are broadcast; beyond, the column holds those of each text.
+    """
     known = stored(disclosing_terms(docs, text), "disclosing")
-    if known.isEmpty():
-        return docs.withColumn(name, F.lit(None).cast("array<bigint>"))
-    held = _held(_digested(docs, text), _filter(known, "term")).join(known, "term")
+    if known.count() <= SENT:
+        hashes = np.array([r.term for r in known.collect()], np.int64)
+        shared = docs.sparkSession.sparkContext.broadcast(hashes.tobytes())
+        held: list[frozenset] = []
+
+        def among(t: str, _: None) -> set[int]:
+            if not held:
+                held.append(frozenset(np.frombuffer(shared.value, np.int64).tolist()))
+            return held[0].intersection(map(_hash, _words(t))) if held[0] else set()
+
+        return docs.withColumn(name, F.lit(None).cast("array<bigint>")), among
+    found = _held(_digested(docs, text), _filter(known, "term")).join(known, "term")
     # a text's terms are at most its own words
-    added = stored(held.groupBy("digest").agg(F.collect_set("term").alias("terms")), "added")
+    added = stored(found.groupBy("digest").agg(F.collect_set("term").alias("terms")), "added")
     added = added.select(F.col("digest").alias("__digest"), F.col("terms").alias(name))
-    return docs.withColumn("__text_digest", F.xxhash64(text)).join(added, F.col("__text_digest") == F.col("__digest"), "left").drop("__digest", "__text_digest")
+    listed = docs.withColumn("__text_digest", F.xxhash64(text)).join(added, F.col("__text_digest") == F.col("__digest"), "left")
+    return listed.drop("__digest", "__text_digest"), lambda _, terms: terms
 
 
-def all_spans(text: str, terms: list[int] | None) -> list[tuple[str, int, int]]:
+def all_spans(text: str, terms: Collection[int] | None) -> list[tuple[str, int, int]]:
     spans = base_spans(text)
     if terms:
         wanted = set(terms)
@@ -254,20 +271,21 @@ def find(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """
     kind = docs.schema[key].dataType.simpleString()
     names = [*KINDS, "term"]
+    listed, among = with_additions(docs.select(key, text), text)
     rows_type = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
-            found = [all_spans(t or "", w) for t, w in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+            found = [all_spans(t or "", among(t or "", w)) for t, w in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
             counts = [pa.array([sum(s[0] == k for s in spans) for spans in found], pa.int64()) for k in names]
             spans = pa.array([[{"kind": k, "start": a, "end": b} for k, a, b in s] for s in found], rows_type)
             yield pa.RecordBatch.from_arrays([batch.column(0), *counts, spans], [key, *(f"n_{k}" for k in names), "spans"])
 
     schema = f"`{key}` {kind}, {', '.join(f'n_{k} long' for k in names)}, spans array<struct<kind:string,start:long,end:long>>"
-    return map_batches(with_additions(docs.select(key, text), text), batches, schema)
+    return map_batches(listed, batches, schema)
 
 
-def sanitised(text: str, terms: list[int] | None) -> str:
+def sanitised(text: str, terms: Collection[int] | None) -> str:
     """The text with every finding replaced by its kind; overlapping ones by the first one's."""
     out, reached = [], 0
     for kind, a, b in sorted(all_spans(text, terms), key=lambda s: (s[1], -s[2])):
@@ -285,19 +303,20 @@ def sanitise(docs: DataFrame, text: str = "text", length: str | None = "n_chars"
     names = docs.columns
     at = names.index(text)
     size = names.index(length) if length in names else None
+    listed, among = with_additions(docs, text)
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
             columns = list(batch.columns[:-1])
             old = columns[at].to_pylist()
-            new = [None if t is None else sanitised(t, w) for t, w in zip(old, batch.columns[-1].to_pylist(), strict=True)]
+            new = [None if t is None else sanitised(t, among(t, w)) for t, w in zip(old, batch.columns[-1].to_pylist(), strict=True)]
             columns[at] = pa.array(new, columns[at].type)
             if size is not None:
                 lengths = [n if x == y else len(y) for n, x, y in zip(columns[size].to_pylist(), old, new, strict=True)]
                 columns[size] = pa.array(lengths, columns[size].type)
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return map_batches(with_additions(docs, text), batches, docs.schema)
+    return map_batches(listed, batches, docs.schema)
 
 
 @query()

@@ -5,6 +5,8 @@ import math
 import random
 import re
 
+import pytest
+
 from rolehabit.llm import pii
 from rolehabit.llm.common import QUERIES
 
@@ -65,7 +67,9 @@ def plain_terms(texts):
     return found
 
 
-def test_terms_that_name_an_entity(spark):
+@pytest.mark.parametrize("sent", [pii.SENT, 0])
+def test_terms_that_name_an_entity(spark, monkeypatch, sent):
+    monkeypatch.setattr(pii, "SENT", sent)
     words = ["alpha", "beta", "gamma", "delta", "omega"]
     texts = [f"the zebrafinch {w} wrote from k.m@x.org with the {w}" for w in words]
     texts += [f"the {w} and nothing else {i}" for i, w in enumerate(words * 20)]
