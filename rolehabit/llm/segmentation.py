@@ -10,7 +10,7 @@ from), and the best entry is completed and split at each later place.  Every bou
 attained, so the first path completed is the next in order.
 
 No piece crosses from a word's end into white space, so a lattice is a chain of words.
-The lattices of all words of a group of texts are made together, completion samples all
+The lattices of a group's words that are new to the task are made together, completion samples all
 words of the group at once, and an entry that leaves a path at a word stands for all other segmentations of
 that word.
 
@@ -46,6 +46,8 @@ MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 #: Characters of texts worked on together.
 GROUP_CHARS = 300_000
+#: Nodes of lattices kept for later groups, some 150 bytes each.
+KEPT_NODES = 1 << 20
 _WORD = re.compile("▁+[^▁\n]*|\n|[^▁\n]+")
 
 
@@ -156,35 +158,58 @@ def decode_all(column: pa.Array) -> pa.Array:
 
 
 class Lattices:
-    """The lattices of some words, in flat arrays.
+    """The lattices of words, in flat arrays that grow as words come.
 
     A node is a place in a word: ``first`` names its first edge, ``paths`` the number of
     ways to the word's end.  An edge has a piece (or -1 - a character to write in bytes),
     the node it leads to (-1 at the end), its log share of its node's paths, and the sum
-    of shares up to it.  ``starts`` has the first node of each word.
+    of shares up to it.  Frequent words come in most texts, so what is made stays for later
+    groups; beyond ``kept`` nodes all is let go before the next group.
     """
 
-    def __init__(self, vocabulary: Pieces, words: list[str]):
-        self.vocabulary = vocabulary
+    def __init__(self, vocabulary: Pieces, kept: int = KEPT_NODES):
+        self.vocabulary, self.kept = vocabulary, kept
+        self._clear()
+
+    def _clear(self) -> None:
+        self.index: dict[str, int] = {}
+        self.nodes = self.edges = 0
+        self.first, self.paths = np.empty(0, np.int64), np.empty(0)
+        self.piece, self.to, self.log, self.upto = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0), np.empty(0)
+
+    def starts(self, words: list[str]) -> np.ndarray:
+        """The first node of each word; nodes given before may be gone."""
+        if self.nodes > self.kept:
+            self._clear()
+        fresh = [w for w in dict.fromkeys(words) if w not in self.index]
+        if fresh:
+            self._add(fresh)
+        return np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+
+    def _add(self, words: list[str]) -> None:
         text = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.int64)
         sizes = np.fromiter(map(len, words), np.int64, len(words))
-        self.starts = np.cumsum(sizes) - sizes
-        end = np.repeat(self.starts + sizes, sizes)
-        source, length, piece, log = self._edges(text, end)
+        starts = np.cumsum(sizes) - sizes
+        end = np.repeat(starts + sizes, sizes)
+        (source, length, piece, log), first = self._edges(text, end)
         target = source + length
         ends = target == end[source]
-        self.first = np.searchsorted(source, np.arange(len(text)))
-        self.paths, log = self._shares(source, target, ends, log, end - np.arange(len(text)))
-        self.piece, self.log = piece, log
-        self.to = np.where(ends, -1, target)
+        paths, log = self._shares(source, target, ends, log, end - np.arange(len(text)))
         share = np.exp(log)
         total = np.cumsum(share)
-        self.upto = total - (total - share)[self.first[source]] if len(text) else total
+        upto = total - (total - share)[first[source]]
         # whatever rounding does, a node's last edge takes the rest
-        self.upto[np.append(self.first, len(source))[1:] - 1] = 2.0
+        upto[np.append(first, len(source))[1:] - 1] = 2.0
+        self.first = _put(self.first, self.nodes, first + self.edges)
+        self.paths = _put(self.paths, self.nodes, paths)
+        self.piece, self.log = _put(self.piece, self.edges, piece), _put(self.log, self.edges, log)
+        self.to = _put(self.to, self.edges, np.where(ends, -1, target + self.nodes))
+        self.upto = _put(self.upto, self.edges, upto)
+        self.index.update(zip(words, (starts + self.nodes).tolist(), strict=True))
+        self.nodes, self.edges = self.nodes + len(text), self.edges + len(source)
 
     def _edges(self, text: np.ndarray, end: np.ndarray):
-        """All pieces at all places, by place and length; a character that is none becomes bytes."""
+        """All pieces at all places, by place and length, and each place's first; a character that is none becomes bytes."""
         held = self.vocabulary
         at, value, length = np.arange(len(text)), np.zeros(len(text), np.uint64), 0
         single = np.zeros(len(text), bool)
@@ -217,7 +242,7 @@ class Lattices:
             slot += begin[columns[0]]
             for column, values in zip(out, columns, strict=True):
                 column[slot] = values
-        return out
+        return out, begin
 
     @staticmethod
     def _shares(source, target, ends, log, left):
@@ -242,6 +267,14 @@ class Lattices:
         return paths, share
 
 
+def _put(held: np.ndarray, size: int, values: np.ndarray) -> np.ndarray:
+    """``held`` with ``values`` behind its first ``size``; room doubles, so that growing costs little."""
+    if size + len(values) > len(held):
+        held = np.concatenate((held[:size], np.empty(max(size, len(values)), held.dtype)))
+    held[size : size + len(values)] = values
+    return held
+
+
 def _in_order(values: np.ndarray) -> np.ndarray:
     """A stable order; numbers of 16 bits are sorted by radix."""
     small = not len(values) or values.max() < 1 << 16
@@ -338,7 +371,7 @@ def _bounds(masses: np.ndarray, top: float, seeds: np.ndarray, which: int) -> np
         return -np.logaddexp(-top, np.log(-np.log(_uniform(seeds, which))) - masses)
 
 
-def sample(texts: list[tuple[int, str]], vocabulary: Pieces, samples: int = SAMPLES) -> list[list[tuple[np.ndarray, float, float, float]]]:
+def sample(texts: list[tuple[int, str]], lattices: Lattices, samples: int = SAMPLES) -> list[list[tuple[np.ndarray, float, float, float]]]:
     """For each (seed, text) its samples in order: ids, log probability, perturbed value, inclusion score.
 
     The inclusion score is the chance of a segmentation to be among the samples given the
@@ -347,11 +380,7 @@ def sample(texts: list[tuple[int, str]], vocabulary: Pieces, samples: int = SAMP
     """
     words = [words_of(text) for _, text in texts]
     every = list(chain.from_iterable(words))
-    distinct = list(dict.fromkeys(every))
-    lattices = Lattices(vocabulary, distinct)
-    index = dict(zip(distinct, lattices.starts.tolist(), strict=True))
-    starts = np.fromiter(map(index.__getitem__, every), np.int64, len(every))
-    chains = np.split(starts, np.cumsum([len(w) for w in words])[:-1])
+    chains = np.split(lattices.starts(every), np.cumsum([len(w) for w in words])[:-1])
     spots = [_mixed(np.arange(len(c), dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(seed & (1 << 64) - 1)) for (seed, _), c in zip(texts, chains, strict=True)]
     paths: list[list[Path]] = [[] for _ in texts]
     nothing = np.empty(0, np.int64)
@@ -430,9 +459,12 @@ def _seed(key) -> int:
     return xxhash.xxh3_64_intdigest(repr(key))
 
 
-def segmentations(docs: DataFrame, key: str = "doc_id", text: str = "text", samples: int = SAMPLES) -> DataFrame:
+def segmentations(docs: DataFrame, key: str = "doc_id", text: str = "text", samples: int = SAMPLES, decoding: str | None = None) -> DataFrame:
     """Up to ``samples`` rows per row of ``docs``: key, rank, ids, log_prob, perturbed, inclusion.
 
+    With ``decoding``, a last column of that name has the text of the ids, decoded in the
+    same pass (``decoded`` does it to any table of ids).
+
     Rank 1 has the largest perturbed value.  Fewer rows only if a text has fewer
     segmentations; null and empty texts have the empty one.  Rows with equal keys and
     texts get equal samples; null keys share a seed.  Other columns are left behind; an
@@ -450,10 +482,11 @@ def segmentations(docs: DataFrame, key: str = "doc_id", text: str = "text", samp
         yield slice(start, len(texts))
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lattices = Lattices(pieces())
         for batch in rows:
             keys, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
             for part in grouped(keys, texts):
-                found = sample([(_seed(k), t) for k, t in zip(keys[part], texts[part], strict=True)], pieces(), samples)
+                found = sample([(_seed(k), t) for k, t in zip(keys[part], texts[part], strict=True)], lattices, samples)
                 counts = [len(f) for f in found]
                 flat = [s for f in found for s in f]
                 if not flat:
@@ -463,11 +496,12 @@ def segmentations(docs: DataFrame, key: str = "doc_id", text: str = "text", samp
                 rank = [r for c in counts for r in range(1, c + 1)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([k for k, c in zip(keys[part], counts, strict=True) for _ in range(c)], batch.column(0).type), pa.array(rank, pa.int32()), ids,
-                     *(pa.array([s[i] for s in flat], pa.float64()) for i in (1, 2, 3))],
-                    [key, "rank", "ids", "log_prob", "perturbed", "inclusion"],
+                     *(pa.array([s[i] for s in flat], pa.float64()) for i in (1, 2, 3)), *([decode_all(ids)] if decoding else [])],
+                    names,
                 )
 
-    schema = f"`{key}` {kind}, rank int, ids array<int>, log_prob double, perturbed double, inclusion double"
+    names = [key, "rank", "ids", "log_prob", "perturbed", "inclusion", *([decoding] if decoding else [])]
+    schema = f"`{key}` {kind}, rank int, ids array<int>, log_prob double, perturbed double, inclusion double" + (f", `{decoding}` string" if decoding else "")
     return map_batches(docs.select(key, text), batches, schema)
 
 
@@ -484,7 +518,7 @@ def decoded(samples: DataFrame, ids: str = "ids", name: str = "text") -> DataFra
 
 @query()
 def op1_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decoded(segmentations(table(spark, sf_dir, "documents")))
+    found = segmentations(table(spark, sf_dir, "documents"), decoding="text")
     return found.select(
         "doc_id", "rank", F.size("ids").alias("n_pieces"), F.xxhash64("ids").alias("ids_digest"), F.xxhash64("text").alias("text_digest"),
         "log_prob", "perturbed", "inclusion",

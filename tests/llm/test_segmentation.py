@@ -36,7 +36,7 @@ def enumerated(text):
 
 
 def drawn(text, count, samples):
-    return seg.sample([(seg._seed(i), text) for i in range(count)], VOCABULARY, samples)
+    return seg.sample([(seg._seed(i), text) for i in range(count)], seg.Lattices(VOCABULARY), samples)
 
 
 @pytest.mark.parametrize("text", ["the in", "a\nb  c", "Ç漢the"])
@@ -86,13 +86,25 @@ def test_round_trip(text):
 
 def test_samples_depend_on_the_key_alone():
     texts = [(seg._seed(i), f"some text {i} and more") for i in range(9)]
-    together = seg.sample(texts, VOCABULARY, 3)
+    together = seg.sample(texts, seg.Lattices(VOCABULARY), 3)
     for one, whole in zip(texts[::-1], together[::-1], strict=True):
-        alone = seg.sample([one], VOCABULARY, 3)[0]
+        alone = seg.sample([one], seg.Lattices(VOCABULARY), 3)[0]
         assert [x[0].tolist() for x in alone] == [x[0].tolist() for x in whole]
         assert [x[2] for x in alone] == pytest.approx([x[2] for x in whole])
 
 
+def test_kept_lattices_change_nothing():
+    groups = [[(seg._seed(10 * g + i), f"some text {i} of group {g} 漢字 and more " + "y" * g) for i in range(9)] for g in range(6)]
+    kept, small = seg.Lattices(VOCABULARY), seg.Lattices(VOCABULARY, kept=60)
+    for group in groups:
+        alone = seg.sample(group, seg.Lattices(VOCABULARY), 3)
+        for lattices in (kept, small):
+            got = seg.sample(group, lattices, 3)
+            assert [[x[0].tolist() for x in f] for f in got] == [[x[0].tolist() for x in f] for f in alone]
+            assert [[x[1:] for x in f] for f in got] == [[pytest.approx(x[1:]) for x in f] for f in alone]
+    assert small.nodes < kept.nodes
+
+
 def test_tables(spark, sf_dir):
     rows = [(1, None, 0), (2, "", 0), (None, "a b", 0), (3, "same", 0), (3, "same", 0), (4, "y " * 9000, 0)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, rank int")
@@ -100,6 +112,8 @@ def test_tables(spark, sf_dir):
     texts = {k: t or "" for k, t, _ in rows}
     assert all(r.text == texts[r.doc_id] for r in got)
     assert Counter(r.doc_id for r in got) == {1: 1, 2: 1, None: 2, 3: 4, 4: 2}
+    fused = seg.segmentations(docs, samples=2, decoding="decoded text").collect()
+    assert sorted(map(tuple, fused), key=repr) == sorted(map(tuple, got), key=repr)
     assert seg.segmentations(docs.limit(0)).collect() == []
     query = QUERIES["op1_segmentation"](spark, sf_dir)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
