@@ -50,7 +50,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def segmented(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, rank, text, ids, log_prob, perturbed, inclusion): text is what the ids decode to."""
-    found = segmentation.decoded(segmentation.segmentations(docs))
+    found = segmentation.segmentations(docs, decoding="text")
     return found.select("doc_id", "rank", "text", "ids", "log_prob", "perturbed", "inclusion")
 
 
