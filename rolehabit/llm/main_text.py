@@ -7,15 +7,21 @@ siblings that score well beside it, are of its kind or hold running text, and wi
 loose text of their parent.  A page without body is scored as one itself.
 
 Menus, forms and the like are left out by their element before anything is scored.
-Elements named in class, id or role as notices, adverts, comments or the like are left out
-too, unless they hold an article or main element or most of the paragraph points of what
-they stand in: the article, or a page that has none.
+Elements named in class, id or role as sidebars, widgets or the like are left out too,
+unless they hold an article or main element or most of the paragraph points of what they
+stand in: the article, or a page that has none.  Comments, adverts and notices can outweigh
+a short article, so no points save them, and an article that is a comment counts as one.
+
+Time is linear in the page: open elements are found by tag, and no bracket is searched for
+an end twice.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left, bisect_right
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -38,10 +44,18 @@ _BOILERPLATE = {"ad", "ads", "advert", "adverts", "advertisement", "advertising"
                 "complementary", "consent", "contentinfo", "cookie", "cookies", "disqus", "footer", "gdpr", "masthead", "menu", "menubar", "modal", "nav",
                 "navbar", "navigation", "newsletter", "notice", "notices", "pagination", "pager", "popup", "promo", "promoted", "related", "replies", "respond",
                 "search", "share", "sharing", "sidebar", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget", "login", "signup"}
-_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
+#: What a reader or an advertiser wrote, and what is about the site: the last word of such a name.
+_REMARK = {"comment", "comments", "reply", "replies", "respond", "disqus"}
+_FIRM = _REMARK | {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "sponsor", "sponsored", "promoted", "notice", "notices", "cookie", "cookies",
+                   "consent", "gdpr"}
+#: Words behind it that only say that something is held.
+_HOLDERS = {"area", "block", "body", "box", "container", "holder", "inner", "item", "list", "outer", "panel", "section", "thread", "wrap", "wrapper"}
+_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
 #: A tag that the page ends within.
-_CUT_TAG = re.compile(r"""</?[a-zA-Z][^\s<>]*(?:\s+[^\s<>=]+\s*=\s*(?:"[^"]*"?|'[^']*'?|[^\s"'<>]*))*\s*\Z""")
-_PLAIN_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
+_CUT_TAG = re.compile(r"""</?[a-zA-Z][^\s<>]*+(?:\s++[^\s<>=]++\s*+=\s*+(?:"[^"]*+"?+|'[^']*+'?+|[^\s"'<>]*+))*+\s*+\Z""")
+_PLAIN_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
+_TAG_NAME = re.compile(r"</?[a-zA-Z][^\s/>]*+")
+_QUOTES = re.compile("[>\"']")
 _NAMES = re.compile(r"""\b(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 #: Words that make a name say that something is there or not, rather than what the element is.
@@ -49,24 +63,22 @@ _MODIFIERS = {"with", "without", "no", "has", "is", "not", "hide", "show"}
 
 
 class Element:
-    __slots__ = ("tag", "parent", "parts", "dropped", "named", "points", "length", "linked", "commas")
+    __slots__ = ("tag", "parent", "parts", "dropped", "named", "firm", "beyond", "points", "length", "linked", "commas")
 
     def __init__(self, tag: str, parent: Element | None, dropped: bool = False):
         self.tag, self.parent, self.dropped, self.named = tag, parent, dropped, False
+        self.firm, self.beyond = False, self
         self.parts: list[str | Element] = []
         self.points, self.length, self.linked, self.commas = 0.0, 0, 0, 0
 
 
-def _unwanted(tag: str, attributes: str, parent: Element) -> bool:
+def _unwanted(tag: str, attributes: str, in_article: bool) -> bool:
     if tag in _DROPPED:
         return True
     if tag in ("html", "body", "main", "article"):
         return False
     if tag == "header":  # an article's own header holds its title
-        above: Element | None = parent
-        while above and above.tag not in ("article", "main"):
-            above = above.parent
-        return above is None
+        return not in_article
     for name, *values in _NAMES.findall(attributes):
         value = "".join(values)
         if name.lower() == "hidden" or (name.lower() == "aria-hidden" and value.lower() == "true"):
@@ -74,27 +86,57 @@ def _unwanted(tag: str, attributes: str, parent: Element) -> bool:
     return False
 
 
-def _named(tag: str, attributes: str) -> bool:
-    """Whether a class, the id or the role names something beside the article."""
-    if tag in ("html", "body", "main", "article"):
-        return False
+def _named(tag: str, attributes: str) -> tuple[bool, bool]:
+    """Whether a class, the id or the role names something beside the article, and whether nothing can save it."""
+    if tag in ("html", "body", "main"):
+        return False, False
+    named = firm = False
     for name, *values in _NAMES.findall(attributes):
         if name.lower() in ("class", "id", "role"):
             for token in "".join(values).split():
                 words = [w.lower() for w in _WORDS.findall(token)]
-                if words and words[0] not in _MODIFIERS and not _BOILERPLATE.isdisjoint(words):
-                    return True
-    return False
+                if not words or words[0] in _MODIFIERS:
+                    continue
+                named |= not _BOILERPLATE.isdisjoint(words)
+                words = [w for w in words if not w.isdigit()]
+                while words and words[-1] in _HOLDERS:
+                    words.pop()
+                firm |= bool(words) and words[-1] in (_REMARK if tag == "article" else _FIRM)
+    return (firm, firm) if tag == "article" else (named or firm, firm)
+
+
+class _Ends:
+    """Whether a bracket has an end outside quotes, for pages where one was seen without: one pass from behind."""
+
+    def __init__(self, page: str):
+        self.at = [m.start() for m in _QUOTES.finditer(page)]
+        self.end = [False] * (len(self.at) + 1)
+        later: dict[str, int] = {}
+        for k in range(len(self.at) - 1, -1, -1):
+            c = page[self.at[k]]
+            self.end[k] = c == ">" or (c in later and self.end[later[c] + 1])
+            later[c] = k
+
+    def after(self, place: int) -> bool:
+        return self.end[bisect_left(self.at, place)]
 
 
 def parsed(page: str) -> Element:
     """The page as a tree; end tags that fit nothing are passed over, missing ones are implied."""
-    root = here = Element("root", None)
-    at, size = 0, len(page)
+    root = Element("root", None)
+    path = [root]  # open elements
+    opened: dict[str, list[int]] = defaultdict(list)  # their places in the path, by tag
+    at, size, last, ends = 0, len(page), page.rfind(">"), None
+
+    def close(depth: int) -> None:
+        while len(path) > depth:
+            opened[path.pop().tag].pop()
+
     while at < size:
         tag = page.find("<", at)
         if tag < 0:
             tag = size
+        here = path[-1]
         if tag > at:
             here.parts.append(html.unescape(page[at:tag]))
         if tag == size:
@@ -107,8 +149,16 @@ def parsed(page: str) -> Element:
             end = page.find(">", tag)
             at = end + 1 if end >= 0 else size
             continue
-        found = _TAG.match(page, tag) or _PLAIN_TAG.match(page, tag)
-        if not found and _CUT_TAG.match(page, tag):
+        found = None
+        if tag < last:
+            name_ends = ends and _TAG_NAME.match(page, tag)
+            if not ends or (name_ends and ends.after(name_ends.end())):
+                found = _TAG.match(page, tag)
+            if not found:
+                found = _PLAIN_TAG.match(page, tag)
+                if found and not ends:
+                    ends = _Ends(page)
+        elif _CUT_TAG.match(page, tag):
             break
         if not found:  # a bracket that opens nothing is text
             here.parts.append("<")
@@ -117,34 +167,35 @@ def parsed(page: str) -> Element:
         at = found.end()
         name = found[2].lower()
         if found[1]:
-            above = here
-            while above.parent and above.tag != name:
-                above = above.parent
-            if above.parent:
-                here = above.parent
+            if opened.get(name):
+                close(opened[name][-1])
             elif name == "br":
                 here.parts.append(" ")
             continue
         closes, stops = _ENDS.get(name, (set(), set()))
         if name not in _INLINE and name != "br":
             closes, stops = closes | {"p"}, stops | {"table", "button", "object"}
-        above = here
-        while closes and above.parent and above.tag not in stops:
-            if above.tag in closes:
-                here = above.parent
-            above = above.parent
+        if any(opened.get(t) for t in closes):
+            stop = max((opened[t][-1] for t in stops if opened.get(t)), default=0)
+            # of each tag the first that is open within the stop
+            inner = [opened[t][k] for t in closes if (k := bisect_right(opened[t], stop)) < len(opened[t])]
+            if inner:
+                close(min(inner))
+                here = path[-1]
         if name in _VOID:
             if name not in _INLINE:
                 here.parts.append(" ")
             continue
-        child = Element(name, here, here.dropped or _unwanted(name, found[3], here))
-        child.named = not child.dropped and _named(name, found[3])
+        child = Element(name, here, here.dropped or _unwanted(name, found[3], bool(opened.get("article") or opened.get("main"))))
+        if not child.dropped:
+            child.named, child.firm = _named(name, found[3])
         here.parts.append(child)
         if name in _RAW:
             end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
             at = end.end() if end else size
         elif not found[3].endswith("/") or name in _PARAGRAPH | {"div", "a"}:
-            here = child
+            opened[name].append(len(path))
+            path.append(child)
     return root
 
 
@@ -168,7 +219,7 @@ def _points(e: Element, length: int, commas: int) -> float:
 
 
 def _drop_named(root: Element) -> None:
-    """Leave out named elements, but not what holds an article or most of an article's or the page's points."""
+    """Leave out named elements, but not what holds an article or, unless firm, most of an article's or the page's points."""
     elements = _in_order(root)
     held = {id(e): [0, 0, 0, 0.0, False] for e in elements}  # length, linked, commas, points, holds an article
     for e in reversed(elements):
@@ -179,7 +230,7 @@ def _drop_named(root: Element) -> None:
         if e.tag == "a":
             own[1] = own[0]
         own[3] += _points(e, own[0], own[2]) * (1 - own[1] / own[0] if own[0] else 0)
-        own[4] |= e.tag in ("article", "main")
+        own[4] |= e.tag in ("article", "main") and not e.firm
         if e.parent:
             above = held[id(e.parent)]
             above[0] += own[0]
@@ -188,7 +239,7 @@ def _drop_named(root: Element) -> None:
             above[3] += own[3]
             above[4] |= own[4]
     whole = held[id(root)][3]
-    articles = any(e.tag in ("article", "main") and held[id(e)][3] for e in elements)
+    articles = any(e.tag in ("article", "main") and not e.firm and held[id(e)][3] for e in elements)
     within: dict[int, Element | None] = {}
     for e in elements:  # parents first
         within[id(e)] = (e.parent if e.parent.tag in ("article", "main") else within[id(e.parent)]) if e.parent else None
@@ -196,7 +247,9 @@ def _drop_named(root: Element) -> None:
             continue
         *_, points, article = held[id(e)]
         around = within[id(e)]
-        if around:
+        if e.firm:
+            e.dropped = not article
+        elif around:
             e.dropped = points <= held[id(around)][3] / 2
         else:
             e.dropped = not article and (articles or points <= whole / 2)
@@ -223,6 +276,9 @@ def main_text(page: str | None) -> str:
     root = parsed(page or "")
     _drop_named(root)
     elements = _in_order(root)
+    for e in elements:  # lists and tables hold paragraphs for what they stand in
+        if e.tag in _FRAME and e.parent:
+            e.beyond = e.parent.beyond
     for e in reversed(elements):
         own = [p for p in e.parts if isinstance(p, str)]
         e.length += sum(len(p.strip()) for p in own)
@@ -237,9 +293,7 @@ def main_text(page: str | None) -> str:
         points = _points(e, e.length, e.commas)
         if points:
             direct = any(p.strip() for p in own)
-            above, share = (e if direct and e.tag not in _PARAGRAPH else e.parent or e), 1.0
-            while above.tag in _FRAME and above.parent:  # lists and tables hold paragraphs for what they stand in
-                above = above.parent
+            above, share = (e if direct and e.tag not in _PARAGRAPH else e.parent or e).beyond, 1.0
             level = 0
             while above and level < 4:
                 above.points += points * share

@@ -2,6 +2,7 @@
 
 import html
 import re
+import time
 
 import pytest
 
@@ -35,6 +36,43 @@ def test_long_and_deep():
     assert main_text(f"<article>{f'<p>{P}</p>' * 5000}</article>") == " ".join([P] * 5000)
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<div " * 100_000, None), ("<a" * 100_000, None), ('<a ">"' * 30_000, None), ("<a b='x\"<" * 50_000, None), ('<a b="<a b=" ' * 30_000 + "<", None),
+        (f"{'<div>' * 100_000}{P}", P), (f"{'<div>' * 50_000}{P}{'</p></x>' * 50_000}", P), (f"<p><table><td>{'<div>' * 50_000}{P}", P),
+        ("<ul><p>x</p>" * 30_000, None), ("<p>x<header>" * 30_000, None),
+    ],
+)
+def test_time_is_linear(page, text):
+    begin = time.process_time()
+    got = main_text(page)
+    assert time.process_time() - begin < 5
+    assert text is None or got == text
+
+
+def test_quotes_without_an_end():
+    # the first bracket's quote never ends; later ones are whole
+    assert main_text(f"<i '><p title=\"a > b\">{P}</p><p title=\">\">{P}</p>") == f"{P} {P}"
+
+
+C = "".join(f"<div class=comment><p>{P} {P}</p></div>" for _ in range(8))
+
+
+@pytest.mark.parametrize("name", ["class=comments", "id=reader-comments", "class='comment-list box'", "class=comments-area", "id='advert-2'", "class='cookie-notice'", "class=adBox"])
+def test_remarks_longer_than_the_article(name):
+    assert main_text(f"<article><p>{P}</p><section {name}>{C}</section></article>") == P
+    assert main_text(f"<article><p>{P}</p></article><section {name}>{C}</section>") == P
+    assert main_text(f"<body><div><p>{P}</p></div><div {name}>{C}</div></body>") == P
+    assert main_text(f"<body><div {name}><article><p>{P}</p></article></div></body>") == P
+
+
+def test_articles_that_are_comments():
+    comments = f"<div id=comments>{f'<article class=comment-body><p>{P} {P}</p></article>' * 5}</div>"
+    assert main_text(f"<main><article class='post comments-open'><p>{P}</p></article>{comments}</main>") == P
+    assert main_text(f"<body><div><p>{P}</p></div>{comments}</body>") == P
+
+
 def test_query(spark, sf_dir):
     pages = {r.page_id: r for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
     rows = QUERIES["op9_main_text"](spark, sf_dir).collect()
