@@ -45,7 +45,7 @@ SAMPLES = 2
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 #: Characters of texts worked on together.
-GROUP_CHARS = 300_000
+GROUP_CHARS = 100_000
 #: Nodes of lattices kept for later groups, some 150 bytes each.
 KEPT_NODES = 1 << 20
 _WORD = re.compile("▁+[^▁\n]*|\n|[^▁\n]+")
@@ -94,10 +94,7 @@ class Pieces:
         else:
             raise ValueError("no table without collisions for this vocabulary")
         self.second[lower] = rest
-        # each piece's bytes, one behind the other
-        self.lengths = np.array([len(b) for b in self.bytes], np.int64)
-        self.begins = np.cumsum(self.lengths) - self.lengths
-        self.content = np.frombuffer(b"".join(self.bytes), np.uint8)
+        self.contents = pa.array(self.bytes, pa.binary())
 
     @staticmethod
     def _upper(hashes: np.ndarray) -> np.ndarray:
@@ -145,16 +142,18 @@ def decode(ids, vocabulary: Pieces | None = None) -> str:
 def decode_all(column: pa.Array) -> pa.Array:
     """The texts of a column of segmentations; nulls stay."""
     held = pieces()
-    ids = column.flatten().to_numpy(zero_copy_only=False)
-    sizes = np.array([0 if n is None else n for n in pc.list_value_length(column).to_pylist()], np.int64)
-    lengths = held.lengths[ids]
-    ends = np.cumsum(lengths)
-    total = int(ends[-1]) if len(ends) else 0
-    content = held.content[np.repeat(held.begins[ids] - ends + lengths, lengths) + np.arange(total)].tobytes()
-    last = np.concatenate(([0], np.cumsum(sizes)))
-    bounds = np.concatenate(([0], ends))[last].tolist()
-    texts = [content[a:b].decode("utf-8", "replace")[1:] for a, b in zip(bounds, bounds[1:], strict=False)]
-    return pa.array([t if v else None for t, v in zip(texts, column.is_valid().to_pylist(), strict=True)], pa.string())
+    lists = pa.ListArray.from_arrays(_offsets(column), held.contents.take(column.flatten()))
+    joined = pc.binary_join(lists, b"")
+    try:
+        texts = pc.utf8_slice_codeunits(joined.cast(pa.string()), 1)
+    except pa.ArrowInvalid:  # ids that are no text in UTF-8
+        texts = pa.array([b.decode("utf-8", "replace")[1:] for b in joined.to_pylist()], pa.string())
+    return pc.if_else(column.is_valid(), texts, None) if column.null_count else texts
+
+
+def _offsets(column: pa.Array) -> pa.Array:
+    sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+    return pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32))
 
 
 class Lattices:
@@ -175,7 +174,7 @@ class Lattices:
         self.index: dict[str, int] = {}
         self.nodes = self.edges = 0
         self.first, self.paths = np.empty(0, np.int64), np.empty(0)
-        self.piece, self.to, self.log, self.upto = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0), np.empty(0)
+        self.piece, self.to, self.log, self.upto = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0), np.empty(0)
 
     def starts(self, words: list[str]) -> np.ndarray:
         """The first node of each word; nodes given before may be gone."""
@@ -267,6 +266,12 @@ class Lattices:
         return paths, share
 
 
+@cache
+def lattices() -> Lattices:
+    """Those that a worker keeps from task to task."""
+    return Lattices(pieces())
+
+
 def _put(held: np.ndarray, size: int, values: np.ndarray) -> np.ndarray:
     """``held`` with ``values`` behind its first ``size``; room doubles, so that growing costs little."""
     if size + len(values) > len(held):
@@ -383,7 +388,7 @@ def sample(texts: list[tuple[int, str]], lattices: Lattices, samples: int = SAMP
     chains = np.split(lattices.starts(every), np.cumsum([len(w) for w in words])[:-1])
     spots = [_mixed(np.arange(len(c), dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(seed & (1 << 64) - 1)) for (seed, _), c in zip(texts, chains, strict=True)]
     paths: list[list[Path]] = [[] for _ in texts]
-    nothing = np.empty(0, np.int64)
+    nothing = np.empty(0, np.int32)
     for turn in range(samples):
         # (text, path to leave, word to leave it at, bound); the first paths leave nothing
         leaving = []
@@ -452,7 +457,7 @@ def sample(texts: list[tuple[int, str]], lattices: Lattices, samples: int = SAMP
 def _ids(chosen: np.ndarray, vocabulary: Pieces) -> np.ndarray:
     if not (chosen < 0).any():
         return chosen
-    return np.array([x for i in chosen.tolist() for x in ([i] if i >= 0 else [vocabulary.byte_ids[b] for b in chr(-1 - i).encode()])], np.int64)
+    return np.array([x for i in chosen.tolist() for x in ([i] if i >= 0 else [vocabulary.byte_ids[b] for b in chr(-1 - i).encode()])], np.int32)
 
 
 def _seed(key) -> int:
@@ -482,17 +487,16 @@ def segmentations(docs: DataFrame, key: str = "doc_id", text: str = "text", samp
         yield slice(start, len(texts))
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattices = Lattices(pieces())
         for batch in rows:
             keys, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
             for part in grouped(keys, texts):
-                found = sample([(_seed(k), t) for k, t in zip(keys[part], texts[part], strict=True)], lattices, samples)
+                found = sample([(_seed(k), t) for k, t in zip(keys[part], texts[part], strict=True)], lattices(), samples)
                 counts = [len(f) for f in found]
                 flat = [s for f in found for s in f]
                 if not flat:
                     continue
                 offsets = np.concatenate(([0], np.cumsum([len(s[0]) for s in flat]))).astype(np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([s[0] for s in flat]).astype(np.int32)))
+                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([s[0] for s in flat]), pa.int32()))
                 rank = [r for c in counts for r in range(1, c + 1)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([k for k, c in zip(keys[part], counts, strict=True) for _ in range(c)], batch.column(0).type), pa.array(rank, pa.int32()), ids,

@@ -4,6 +4,7 @@ import math
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from rolehabit.llm import segmentation as seg
@@ -105,6 +106,13 @@ def test_kept_lattices_change_nothing():
     assert small.nodes < kept.nodes
 
 
+def test_decoding_columns():
+    rows = [[], None, [VOCABULARY.byte_ids[200]] * 2, *(seg.sample([(1, t)], seg.Lattices(VOCABULARY), 1)[0][0][0].tolist() for t in ("a b", "漢𝄞", "\x00\n"))]
+    for part in (rows, rows[:2] + rows[3:]):  # with and without ids that are no text
+        column = pa.array([None, *part, []], pa.list_(pa.int32()))[1:]
+        assert seg.decode_all(column).to_pylist() == [None if r is None else seg.decode(r) for r in [*part, []]]
+
+
 def test_tables(spark, sf_dir):
     rows = [(1, None, 0), (2, "", 0), (None, "a b", 0), (3, "same", 0), (3, "same", 0), (4, "y " * 9000, 0)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, rank int")
