@@ -47,7 +47,7 @@ SPACE = "▁"
 #: Characters of texts worked on together.
 GROUP_CHARS = 100_000
 #: Nodes of lattices kept for later groups, some 150 bytes each.
-KEPT_NODES = 1 << 20
+KEPT_NODES = 1 << 21
 _WORD = re.compile("▁+[^▁\n]*|\n|[^▁\n]+")
 
 
@@ -156,6 +156,20 @@ def _offsets(column: pa.Array) -> pa.Array:
     return pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32))
 
 
+class _Index(dict[str, int]):
+    """The first node of each word; a word not seen before is noted and gets the next ones."""
+
+    def __init__(self) -> None:
+        self.fresh: list[str] = []
+        self.nodes = 0
+
+    def __missing__(self, word: str) -> int:
+        self.fresh.append(word)
+        self[word] = node = self.nodes
+        self.nodes += len(word)
+        return node
+
+
 class Lattices:
     """The lattices of words, in flat arrays that grow as words come.
 
@@ -171,7 +185,7 @@ class Lattices:
         self._clear()
 
     def _clear(self) -> None:
-        self.index: dict[str, int] = {}
+        self.index = _Index()
         self.nodes = self.edges = 0
         self.first, self.paths = np.empty(0, np.int64), np.empty(0)
         self.piece, self.to, self.log, self.upto = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0), np.empty(0)
@@ -180,10 +194,11 @@ class Lattices:
         """The first node of each word; nodes given before may be gone."""
         if self.nodes > self.kept:
             self._clear()
-        fresh = [w for w in dict.fromkeys(words) if w not in self.index]
-        if fresh:
-            self._add(fresh)
-        return np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+        found = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+        if self.index.fresh:
+            self._add(self.index.fresh)
+            self.index.fresh = []
+        return found
 
     def _add(self, words: list[str]) -> None:
         text = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.int64)
@@ -204,7 +219,6 @@ class Lattices:
         self.piece, self.log = _put(self.piece, self.edges, piece), _put(self.log, self.edges, log)
         self.to = _put(self.to, self.edges, np.where(ends, -1, target + self.nodes))
         self.upto = _put(self.upto, self.edges, upto)
-        self.index.update(zip(words, (starts + self.nodes).tolist(), strict=True))
         self.nodes, self.edges = self.nodes + len(text), self.edges + len(source)
 
     def _edges(self, text: np.ndarray, end: np.ndarray):
@@ -370,12 +384,6 @@ class Path:
         return tuple(self.edges[self.offsets[k] : self.offsets[k + 1]].tolist())
 
 
-def _bounds(masses: np.ndarray, top: float, seeds: np.ndarray, which: int) -> np.ndarray:
-    """Gumbel variables with these locations, given that they are below ``top``."""
-    with np.errstate(over="ignore"):
-        return -np.logaddexp(-top, np.log(-np.log(_uniform(seeds, which))) - masses)
-
-
 def sample(texts: list[tuple[int, str]], lattices: Lattices, samples: int = SAMPLES) -> list[list[tuple[np.ndarray, float, float, float]]]:
     """For each (seed, text) its samples in order: ids, log probability, perturbed value, inclusion score.
 
@@ -385,8 +393,13 @@ def sample(texts: list[tuple[int, str]], lattices: Lattices, samples: int = SAMP
     """
     words = [words_of(text) for _, text in texts]
     every = list(chain.from_iterable(words))
-    chains = np.split(lattices.starts(every), np.cumsum([len(w) for w in words])[:-1])
-    spots = [_mixed(np.arange(len(c), dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(seed & (1 << 64) - 1)) for (seed, _), c in zip(texts, chains, strict=True)]
+    nodes, sizes = lattices.starts(every), np.array([len(w) for w in words], np.int64)
+    begins = np.cumsum(sizes) - sizes
+    places = (np.arange(len(nodes)) - np.repeat(begins, sizes)).astype(np.uint64)
+    spot = _mixed(places * np.uint64(0xD6E8FEB86659FD93) + np.repeat(np.array([seed & (1 << 64) - 1 for seed, _ in texts], np.uint64), sizes))
+    parts = [slice(a, a + n) for a, n in zip(begins.tolist(), sizes.tolist(), strict=True)]
+    chains, spots = [nodes[p] for p in parts], [spot[p] for p in parts]
+    ways = lattices.paths[nodes]
     paths: list[list[Path]] = [[] for _ in texts]
     nothing = np.empty(0, np.int32)
     for turn in range(samples):
@@ -407,6 +420,10 @@ def sample(texts: list[tuple[int, str]], lattices: Lattices, samples: int = SAMP
             break
         edges, sizes, logs = _completed(lattices, np.concatenate(rest), _mixed(np.concatenate(seeds)))
         ends = np.cumsum(sizes)
+        # what of each word's probability its path leaves, and the draws behind new bounds
+        with np.errstate(divide="ignore"):
+            others = np.log(-np.expm1(np.minimum(logs, 0.0)))
+        draws = np.log(-np.log(_uniform(spot, (1 << 21) + turn)))
         at = 0
         for (d, old, k, top), part in zip(leaving, rest, strict=True):
             words, size = slice(at, at + len(part)), len(part)
@@ -427,15 +444,15 @@ def sample(texts: list[tuple[int, str]], lattices: Lattices, samples: int = SAMP
                 old.bounds[k] = -math.inf
                 old.best = float(old.bounds.max())
             behind = np.cumsum(made.logs) - made.logs
-            with np.errstate(divide="ignore"):
-                left = np.log(-np.expm1(np.minimum(made.logs, 0.0)))
-            left[lattices.paths[chains[d]] <= 1] = -math.inf
+            left = np.full(len(made.logs), -math.inf)
+            left[k + 1 :] = np.where(ways[parts[d]][k + 1 :] <= 1, -math.inf, others[words])
             if k >= 0:
-                left[:k] = -math.inf
                 gone = made.taken[k]
-                open_ways = lattices.paths[chains[d][k]] > len(gone)
-                left[k] = math.log(max(1 - sum(math.exp(p) for _, p in gone), 1e-300)) if open_ways else -math.inf
-            made.bounds = _bounds(behind + left, top, spots[d], (1 << 21) + turn)
+                if ways[parts[d]][k] > len(gone):
+                    left[k] = math.log(max(1 - sum(math.exp(p) for _, p in gone), 1e-300))
+            # Gumbel variables with these locations, given that they are below ``top``
+            with np.errstate(over="ignore"):
+                made.bounds = -np.logaddexp(-top, draws[parts[d]] - (behind + left))
             made.bounds[left == -math.inf] = -math.inf
             made.best = float(made.bounds.max())
             paths[d].append(made)
