@@ -37,6 +37,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(frame: DataFrame, name: str) -> str:
+    """``name``, with as many underscores before it as no column of ``frame`` has."""
+    taken = {c.lower() for c in frame.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -71,6 +71,11 @@ def test_odd_rows(spark, tmp_path):
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     one = corpus_pipeline.one_of_each(spark, docs, str(tmp_path)).collect()
     assert sorted((r.doc_id for r in one), key=repr) == [1, 2, None]
+    named = docs.selectExpr("*", "7 as n", "8 as Least", "9 as digest", "10 as component_id")
+    clashing = corpus_pipeline.one_of_each(spark, named, str(tmp_path))
+    assert clashing.columns == named.columns
+    got = [tuple(r) for r in clashing.collect()]
+    assert sorted((r[0] for r in got), key=repr) == [1, 2, None] and all(r[5:] == (7, 8, 9, 10) for r in got)
     assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
     docs.limit(0).write.mode("overwrite").parquet(f"{tmp_path}/empty/documents.parquet")
     spark.read.parquet(f"{tmp_path}/labels.parquet").write.parquet(f"{tmp_path}/empty/labels.parquet")
