@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rolehabit.llm import mixing, ngram_join, pii, quality, segmentation
-from rolehabit.llm.common import stored, table
+from rolehabit.llm.common import stored, table, unused
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,13 +31,15 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
     kept = docs.join(stored(gone, "gone"), "doc_id", "left_anti").select(*docs.columns)
     # a key that comes more than once: one row of it stays, the one with the least digest
-    often = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"), F.min(F.xxhash64(*docs.columns)).alias("least"))
-    often = stored(often.where("n > 1"), "often")
+    count, least, digest = (unused(docs, name) for name in ("n", "least", "digest"))
+    often = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias(count), F.min(F.xxhash64(*docs.columns)).alias(least))
+    often = stored(often.where(F.col(count) > 1), "often")
     if often.isEmpty():
         return kept
-    kept = kept.withColumn("__digest", F.xxhash64(*docs.columns)).join(often, "doc_id", "left").where("n is null or __digest = least")
-    again = kept.where("n is not null").dropDuplicates(["doc_id"])
-    return kept.where("n is null").union(again).select(*docs.columns)
+    once = F.col(count).isNull()
+    kept = kept.withColumn(digest, F.xxhash64(*docs.columns)).join(often, "doc_id", "left").where(once | (F.col(digest) == F.col(least)))
+    again = kept.where(~once).dropDuplicates(["doc_id"])
+    return kept.where(once).union(again).select(*docs.columns)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
