@@ -35,12 +35,12 @@ def words_in(text: str) -> Column:
     return F.when(bare.isNull() | (bare == ""), F.lit(0)).otherwise(F.size(F.split(bare, "[\\x20\\x09-\\x0D]+"))).cast("long")
 
 
-def _named(docs: DataFrame, key: str, source: str, size: Column) -> DataFrame:
-    """What decides about a row, beside its own columns: source (never null), size, hash."""
+def _named(docs: DataFrame, key: str, source: str, text: str) -> DataFrame:
+    """What decides about a row, beside its own columns: source (never null), size, hash (of the text where the key is null)."""
     return docs.withColumns({
         "__source": F.coalesce(F.concat(F.lit("s"), F.col(source).cast("string")), F.lit("")),
-        "__size": size,
-        "__hash": F.xxhash64(F.lit(SEED), F.col(key)),
+        "__size": words_in(text),
+        "__hash": F.xxhash64(F.lit(SEED), F.col(key), F.when(F.col(key).isNull(), F.col(text))),
     })
 
 
@@ -165,9 +165,9 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
 
     shards: where each copy of the row goes.  A null source is a source, sorted last; a
     null text has no words.  Rows of one key are drawn alike, so repeated rows are taken
-    equally often.  Other columns are left behind; an empty table gives an empty one.
+    equally often; those of no key are drawn by their texts.  Other columns are left behind; an empty table gives an empty one.
     """
-    sizes = stored(_named(docs, key, source, words_in(text)).select(F.col(key).alias("__key"), "__source", "__size", "__hash"), "sizes")
+    sizes = stored(_named(docs, key, source, text).select(F.col(key).alias("__key"), "__source", "__size", "__hash"), "sizes")
     sources, blocks = plan(sizes)
     decided = _decided(sizes, sources, blocks)
     return decided.select(
@@ -181,7 +181,7 @@ def mixed(docs: DataFrame, key: str = "doc_id", source: str = "source", text: st
 
     ``shard`` names a column to add for the shard.
     """
-    named = _named(docs, key, source, words_in(text))
+    named = _named(docs, key, source, text)
     sizes = stored(named.select("__source", "__size", "__hash"), "sizes")
     sources, blocks = plan(sizes)
     rows = _decided(named, sources, blocks)

@@ -83,3 +83,12 @@ def test_repeated_and_no_rows(spark):
     rows = mixing.mix(docs).collect()
     assert len(rows) == 4 and len({r.copies for r in rows if r.doc_id == 1}) == 1
     assert mixing.mix(docs.limit(0)).collect() == [] and mixing.mixed(docs.limit(0)).collect() == []
+
+
+def test_rows_without_a_key_are_drawn_by_their_texts(spark):
+    rows = [(None, f"word {'more ' * (i % 7)}{i}", "aab"[i % 3]) for i in range(400)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert len(got) == 400
+    for size in {r.source_size for r in got}:
+        part = [r for r in got if r.source_size == size]
+        assert abs(sum(r.size * r.copies for r in part) - part[0].target) <= 8
