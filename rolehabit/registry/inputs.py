@@ -178,7 +178,8 @@ def quarantined_roles(spark, sf_dir):
     )
 
 
-RECORDS_PER_FILE = 1000
+#: Records of one account and day in a file, about: a busy day has several files.
+RECORDS_PER_FILE = 10_000
 HOME_ACCOUNTS = 5
 
 
@@ -192,11 +193,7 @@ def write_audit_files(spark, sf_dir) -> str:
     )
     regions = F.array(*[F.lit(region) for region in REGIONS])
     place = F.element_at(regions, F.col("account").cast("int") + 1)
-    rows = (
-        calls.join(homes, "principal_id")
-        .withColumn("region", place)
-        .withColumn("part", F.floor(F.col("event_id") / RECORDS_PER_FILE))
-    )
+    rows = calls.join(homes, "principal_id").withColumn("region", place)
     assumed = F.col("identity_type") == "AssumedRole"
     issuer = F.struct(F.lit("Role").alias("type"), F.col("principal_id").alias("principalId"))
     identity = F.struct(
@@ -221,11 +218,12 @@ def write_audit_files(spark, sf_dir) -> str:
     dated = rows.select(
         "account",
         "region",
-        "part",
         *[F.date_format("event_ts", f).alias(n) for n, f in zip(where[2:], ("yyyy", "MM", "dd"))],
         F.to_json(record).alias("record"),
-    )
-    documents = dated.groupBy(*where, "part").agg(
+    ).withColumn("folder", F.xxhash64(*where))  # never null, so that the join keeps every row
+    sizes = dated.groupBy("folder").agg(F.ceil(F.count("*") / RECORDS_PER_FILE).alias("files"))
+    part = F.pmod(F.xxhash64("record"), "files").alias("part")
+    documents = dated.join(sizes, "folder").groupBy(*where, part).agg(
         F.concat(
             F.lit('{"Records":['), F.array_join(F.collect_list("record"), ","), F.lit("]}")
         ).alias("value")

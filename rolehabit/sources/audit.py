@@ -88,10 +88,16 @@ def stream_audit_files(spark: SparkSession, base: str, files_per_trigger: int |
     return reader.json(pattern).withColumn("file", _file_name())
 
 
+#: Stands in no file, so a file is one line.
+_NEVER = "\x1e5c0f9a4e-end-of-file-0b7d\x1e"
+
+
 def _json_files(reader):
+    """A document per file, as one long line: with ``multiLine`` Spark goes back to the file for
+    the text of every nested object that is kept as JSON (``requestParameters``)."""
     return (
         reader.schema(AUDIT_FILE)
-        .option("multiLine", True)
+        .option("lineSep", _NEVER)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
     )
@@ -122,14 +128,17 @@ def flatten(files: DataFrame) -> DataFrame:
     )
     faulty = F.col("Records").isNull() | F.col(CORRUPT).isNotNull()
     rows = F.when(faulty, F.concat(good, F.array(fault))).otherwise(good)
-    records = files.select(
-        *[
-            F.regexp_extract("file", _LAYOUT, place).alias(name)
-            for place, name in enumerate(_PATH_PARTS, 1)
-        ],
-        F.col("Records").isNull().alias("_nothing"),
-        F.inline(rows),
-    ).select("*", "record.*")
+    parts = [
+        F.regexp_extract("file", _LAYOUT, place).alias(name)
+        for place, name in enumerate(_PATH_PARTS, 1)
+    ]
+    # the array itself must not stand beside its records: each of them would carry all
+    nothing = F.col("Records").isNull().alias("_nothing")
+    records = (
+        files.select(*parts, nothing, rows.alias("_rows"))
+        .select(*_PATH_PARTS, "_nothing", F.inline("_rows"))
+        .select("*", "record.*")
+    )
     event_ts = F.try_to_timestamp("eventTime")
     reason = (
         F.when(F.col("_text").isNotNull() & F.col("_nothing"), "unreadable file")

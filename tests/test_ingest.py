@@ -1,3 +1,4 @@
+import gzip
 import json
 from datetime import date, datetime, timedelta, timezone
 
@@ -5,6 +6,7 @@ import pytest
 
 from rolehabit.operators import activity
 from rolehabit.plans.ingest import ingest_days
+from rolehabit.registry import inputs
 from rolehabit.schemas import AUDIT_RECORD, AUDIT_TABLE
 from rolehabit.settings import REGIONS, Settings
 from rolehabit.sources import audit
@@ -143,3 +145,42 @@ def test_half_read_record_is_quarantined_and_the_rest_kept(spark, tmp_path):
     assert {r.eventName for r in rows if r.reason is None} >= {"GetObject"}
     (fault,) = [r for r in rows if r.reason]
     assert "ev-odd" in fault.content and fault.origin.endswith("x.json")
+
+
+def test_no_record_carries_the_array_of_its_file(spark, files):
+    """Else the work grows with the square of a file's records."""
+    plan = flat(spark, files)._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() != "Generate":
+        plan = plan.children().apply(0)
+    kept = plan.output().mkString(",")
+    assert "record#" in kept
+    assert "Records#" not in kept and "_rows#" not in kept
+
+
+def test_nested_text_comes_as_written_from_compressed_files(spark, files):
+    """The text of nested objects is taken from what was read, without going back to the file."""
+    text = '{"n": 1.50,  "t": [1e3]}'
+    record = json.dumps({**FIRST, "requestParameters": None}).replace('"requestParameters": null', f'"requestParameters": {text}')
+    base = files.parent / "packed"
+    put_audit_file(base, [])
+    with gzip.open(base / "1/CloudTrail/us-east-1/2024/01/02/y.json.gz", "wt") as file:
+        file.write(f'{{"Records":[{record}\n,\n{record}]}}')
+    assert [r.requestParameters for r in flat(spark, base).collect()] == [text, text]
+
+
+def test_audit_files_hold_an_account_and_day(spark, tmp_path, monkeypatch):
+    """Their number follows the accounts, days and records, not the range of the ids."""
+    spark.sql(
+        "SELECT 1000 * id AS event_id, TIMESTAMP_NTZ '2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, id % 48) AS ts,"
+        " 1L AS user_id, 'view' AS event_type, 1.0D AS value, '{\"k\": 1}' AS props FROM range(96)"
+    ).write.parquet(f"{tmp_path}/events.parquet")
+    spark.sql("SELECT 1L AS c_custkey, 'c' AS c_name, 2 AS c_nationkey, 0.0D AS c_acctbal, 'X' AS c_mktsegment").write.parquet(f"{tmp_path}/customer.parquet")
+
+    def written():
+        files = audit.read_files_below(spark, inputs.write_audit_files(spark, str(tmp_path)))
+        return files.count(), audit.flatten(files).select("eventId").distinct().count()
+
+    assert written() == (2, 96)
+    monkeypatch.setattr(inputs, "RECORDS_PER_FILE", 12)
+    several, records = written()
+    assert 2 < several <= 8 and records == 96
