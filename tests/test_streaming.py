@@ -2,13 +2,16 @@
 
 import json
 import time
+from types import SimpleNamespace
 
 import pyarrow as pa
+from pyspark.sql import Row
 
 from rolehabit.settings import Settings
 from rolehabit.sources import audit
 from rolehabit.streaming import jobs
-from rolehabit.streaming.stateful import without_repeats
+from rolehabit.streaming import stateful
+from rolehabit.streaming.stateful import LastSeen, without_repeats
 from tests.samples import CALL, FIRST, SECOND, accounts, calls, put_audit_file, role, roles
 
 
@@ -117,3 +120,57 @@ def test_alerts_do_not_depend_on_files_or_the_hours_edge(spark, tmp_path):
     assert run_alerts(spark, tmp_path, [early, late], "files") == [("High", 6)]
     edge = [(3600, "R1", a) for a in "def"]
     assert run_alerts(spark, tmp_path, [early + edge], "edge") == [("High", 6)]
+
+
+def test_combiner_groups_few_times(monkeypatch):
+    """Not once a batch: that regroups all that is held each time."""
+    calls_made = []
+    plain = stateful._distinct
+    monkeypatch.setattr(stateful, "_distinct", lambda batches: calls_made.append(1) or plain(batches))
+    monkeypatch.setattr(stateful, "FLUSH_ROWS", 100)
+    batch = pa.RecordBatch.from_pydict({"role_id": ["r"] * 10, "action": list("abcdefghij"), "tick": [1] * 10})
+    assert sum(b.num_rows for b in without_repeats(iter([batch] * 100))) == 10
+    assert len(calls_made) <= 13
+
+
+class Store:
+    """Stands for the state store of one key: its list, and the calls made to it."""
+
+    def __init__(self):
+        self.rows, self.calls = [], 0
+
+    def getListState(self, *_, **__):
+        return self
+
+    def get(self):
+        self.calls += 1
+        return iter(self.rows)
+
+    def put(self, rows):
+        self.calls += 1
+        self.rows = rows
+
+
+def seen(store, *rows, ttl=5, now=None):
+    """What a key's rows (action, tick) give rise to."""
+    processor = LastSeen(ttl, evict=now is not None)
+    processor.init(store)
+    given = [Row(role_id="R", action=a, tick=t) for a, t in rows]
+    timer = SimpleNamespace(getCurrentProcessingTimeInMs=lambda: now)
+    return [(r.action, r.tick) for r in processor.handleInputRows(("R", 0), iter(given), timer)]
+
+
+def test_a_keys_actions_are_read_and_written_at_once():
+    store = Store()
+    assert seen(store, ("b", 1), ("a", 9), ("a", 1), ("a", 4), ("b", 7), ("a", 1)) == [("a", 1), ("b", 1), ("b", 7)]
+    assert store.calls == 2
+    assert seen(store, ("a", 14), ("a", 3), ("b", 13), ("c", None), ("c", 2)) == [("b", 13), ("c", 2)]
+    assert seen(store, ("a", None), ("d", None)) == [("d", None)]
+
+
+def test_an_action_is_forgotten_by_itself():
+    """Though another one of its key is still touched."""
+    store = Store()
+    assert seen(store, ("a", 1), ("b", 1), now=1_000) == [("a", 1), ("b", 1)]
+    assert seen(store, ("a", 1), now=5_000) == []
+    assert seen(store, ("a", 1), ("b", 1), now=7_000) == [("b", 1)]
