@@ -69,7 +69,7 @@ class RoleMemory(StatefulProcessor):
             self._wake(min(last.values()), timerValues)
 
     def _membership(self, change) -> tuple[str | None, bool]:
-        known = self.member.get() if self.member.exists() else None
+        known = self.member.get()
         if change is not None and (known is None or change[2] >= known[2]):
             self.member.update(change)
             known = change
