@@ -46,8 +46,8 @@ MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 #: Characters of texts worked on together.
 GROUP_CHARS = 100_000
-#: Nodes of lattices kept for later groups, some 150 bytes each.
-KEPT_NODES = 1 << 21
+#: Nodes of lattices kept for later groups, some 150 bytes each, by each of an executor's workers.
+KEPT_NODES = 1 << 20
 _WORD = re.compile("▁+[^▁\n]*|\n|[^▁\n]+")
 
 

@@ -129,3 +129,13 @@ def test_tables(spark, sf_dir):
     from pyspark.sql import functions as F
 
     assert query.join(docs, "doc_id").where(F.col("text_digest") != F.xxhash64("text")).count() == 0
+
+
+def test_lattices_that_a_worker_keeps_leave_room_for_others():
+    """Two workers of an executor keep 200 MB of arrays at most between them."""
+    made = seg.Lattices(VOCABULARY)
+    letters = np.random.default_rng(5).integers(97, 123, 60_000).astype(np.uint8).tobytes().decode()
+    made.starts([seg.SPACE + letters[i : i + 6] for i in range(0, len(letters), 6)])
+    columns = [(made.first, made.nodes), (made.paths, made.nodes), *((c, made.edges) for c in (made.piece, made.to, made.log, made.upto))]
+    a_node = sum(c.itemsize * size for c, size in columns) / made.nodes
+    assert a_node * made.kept < 100e6
