@@ -26,7 +26,6 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Callable, Collection, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -117,7 +116,6 @@ def terms_of(text: str, spans: list[tuple[str, int, int]]) -> Iterator[re.Match]
             yield word
 
 
-@lru_cache(maxsize=1 << 18)
 def _hash(term: str) -> int:
     return xxhash.xxh3_64_intdigest(term) - (1 << 63)
 
@@ -126,7 +124,7 @@ def _words(text: str, spans: list[tuple[str, int, int]] = ()) -> set[str]:
     return {w.lower() for w in ({m[0] for m in terms_of(text, spans)} if spans else set(_TERM.findall(text)))}
 
 
-def _batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
+def _batch(rows: Collection[tuple], names: list[str]) -> pa.RecordBatch:
     columns = list(zip(*rows, strict=True)) or [[] for _ in names]
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
 
@@ -161,11 +159,13 @@ def _facts(texts: DataFrame, copied: bytes) -> DataFrame:
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, counts, own = shared.value, Counter(), set()
 
-        def flushed() -> pa.RecordBatch:
-            rows = [*own, *((None, None, _hash(w), n) for w, n in counts.items())]
+        def flushed() -> Iterator[pa.RecordBatch]:
+            yield _batch(own, names)
             own.clear()
+            terms, n = (pa.array(np.fromiter(x, np.int64, len(counts))) for x in (map(_hash, counts), counts.values()))
             counts.clear()
-            return _batch(rows, names)
+            nothing = pa.nulls(len(n), pa.int64())
+            yield pa.RecordBatch.from_arrays([nothing, nothing, terms, n], names)
 
         for batch in rows:
             for digest, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -176,8 +176,8 @@ def _facts(texts: DataFrame, copied: bytes) -> DataFrame:
                 else:
                     counts.update(_words(text, spans))
                 if len(counts) + len(own) > HELD:
-                    yield flushed()
-        yield flushed()
+                    yield from flushed()
+        yield from flushed()
 
     return map_batches(texts, batches, "digest long, entity long, term long, n long")
 
