@@ -28,7 +28,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cache
-from itertools import chain
+from itertools import chain, compress
 
 import numpy as np
 import public_tokenizers
@@ -49,6 +49,7 @@ GROUP_CHARS = 100_000
 #: Nodes of lattices kept for later groups, some 150 bytes each, by each of an executor's workers.
 KEPT_NODES = 1 << 20
 _WORD = re.compile("▁+[^▁\n]*|\n|[^▁\n]+")
+_SPACED = re.compile(_WORD.pattern.replace(SPACE, " "))
 
 
 class Pieces:
@@ -133,6 +134,11 @@ def words_of(text: str) -> list[str]:
     return _WORD.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
 
+def _spaced(text: str) -> list[str]:
+    """The same with plain spaces, which most texts can hold in a byte a character."""
+    return _SPACED.findall(" " + text.replace(SPACE, " ")) if text else []
+
+
 def decode(ids, vocabulary: Pieces | None = None) -> str:
     """The text of a segmentation."""
     held = (vocabulary or pieces()).bytes
@@ -159,7 +165,8 @@ def _offsets(column: pa.Array) -> pa.Array:
 class _Index(dict[str, int]):
     """The first node of each word; a word not seen before is noted and gets the next ones."""
 
-    def __init__(self) -> None:
+    def __init__(self, held=()) -> None:
+        super().__init__(held)
         self.fresh: list[str] = []
         self.nodes = 0
 
@@ -171,37 +178,59 @@ class _Index(dict[str, int]):
 
 
 class Lattices:
-    """The lattices of words, in flat arrays that grow as words come.
+    """The lattices of words (spaces plain), in flat arrays that grow as words come.
 
     A node is a place in a word: ``first`` names its first edge, ``paths`` the number of
     ways to the word's end.  An edge has a piece (or -1 - a character to write in bytes),
     the node it leads to (-1 at the end), its log share of its node's paths, and the sum
     of shares up to it.  Frequent words come in most texts, so what is made stays for later
-    groups; beyond ``kept`` nodes all is let go before the next group.
+    groups; beyond ``kept`` nodes, words that came in one group alone since the last time are
+    let go before the next group, and all words if the others have more than half of that.
     """
 
     def __init__(self, vocabulary: Pieces, kept: int = KEPT_NODES):
         self.vocabulary, self.kept = vocabulary, kept
-        self._clear()
-
-    def _clear(self) -> None:
         self.index = _Index()
         self.nodes = self.edges = 0
-        self.first, self.paths = np.empty(0, np.int64), np.empty(0)
+        self.first, self.paths, self.again = np.empty(0, np.int64), np.empty(0), np.empty(0, bool)
         self.piece, self.to, self.log, self.upto = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0), np.empty(0)
 
+    def _let_go(self) -> None:
+        words = list(self.index)  # as their nodes stand
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        stay = self.again[np.cumsum(sizes) - sizes]
+        if sizes[stay].sum() > self.kept // 2:
+            stay[:] = False
+        nodes = np.repeat(stay, sizes)
+        counts = np.diff(np.append(self.first[: self.nodes], self.edges))
+        edges = np.flatnonzero(np.repeat(nodes, counts))
+        place, counts, sizes = np.cumsum(nodes) - 1, counts[nodes], sizes[stay]
+        to = self.to[edges]
+        self.to[: len(edges)] = np.where(to < 0, -1, place[to])
+        for column in (self.piece, self.log, self.upto):
+            column[: len(edges)] = column[edges]
+        nodes = np.flatnonzero(nodes)
+        self.first[: len(nodes)] = np.cumsum(counts) - counts
+        self.paths[: len(nodes)] = self.paths[nodes]
+        self.again[: len(nodes)] = False
+        self.nodes, self.edges = len(nodes), len(edges)
+        self.index = _Index(zip(compress(words, stay.tolist()), (np.cumsum(sizes) - sizes).tolist(), strict=True))
+        self.index.nodes = self.nodes
+
     def starts(self, words: list[str]) -> np.ndarray:
         """The first node of each word; nodes given before may be gone."""
         if self.nodes > self.kept:
-            self._clear()
+            self._let_go()
+        before = self.nodes
         found = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+        self.again[found[found < before]] = True
         if self.index.fresh:
             self._add(self.index.fresh)
             self.index.fresh = []
         return found
 
     def _add(self, words: list[str]) -> None:
-        text = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.int64)
+        text = np.frombuffer("".join(words).replace(" ", SPACE).encode("utf-32-le"), np.uint32).astype(np.int64)
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         starts = np.cumsum(sizes) - sizes
         end = np.repeat(starts + sizes, sizes)
@@ -216,6 +245,7 @@ class Lattices:
         upto[np.append(first, len(source))[1:] - 1] = 2.0
         self.first = _put(self.first, self.nodes, first + self.edges)
         self.paths = _put(self.paths, self.nodes, paths)
+        self.again = _put(self.again, self.nodes, np.zeros(len(text), bool))
         self.piece, self.log = _put(self.piece, self.edges, piece), _put(self.log, self.edges, log)
         self.to = _put(self.to, self.edges, np.where(ends, -1, target + self.nodes))
         self.upto = _put(self.upto, self.edges, upto)
@@ -294,6 +324,11 @@ def _put(held: np.ndarray, size: int, values: np.ndarray) -> np.ndarray:
     return held
 
 
+def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, as many as its length, one range behind another."""
+    return np.repeat(starts - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
+
+
 def _in_order(values: np.ndarray) -> np.ndarray:
     """A stable order; numbers of 16 bits are sorted by radix."""
     small = not len(values) or values.max() < 1 << 16
@@ -312,10 +347,18 @@ def _uniform(seeds: np.ndarray, which: int) -> np.ndarray:
     return ((drawn >> np.uint64(12)).astype(np.float64) + 0.5) * 2.0**-52
 
 
+def _one(seed: int, which: int) -> float:
+    """What ``_uniform`` draws from one seed."""
+    x = seed + (which + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1
+    x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & (1 << 64) - 1
+    x = (x ^ x >> 27) * 0x94D049BB133111EB & (1 << 64) - 1
+    return (((x ^ x >> 31) >> 12) + 0.5) * 2.0**-52
+
+
 def _completed(lattices: Lattices, nodes: np.ndarray, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """A random path from each node: all edges in turn, their number and log probability by node."""
     active, at, step = np.arange(len(nodes)), nodes, 0
-    owners, chosen, log = [], [], np.zeros(len(nodes))
+    steps, sizes, log = [], np.zeros(len(nodes), np.int64), np.zeros(len(nodes))
     while len(active):
         u = _uniform(seeds[active], step)
         edge = lattices.first[at]
@@ -323,20 +366,20 @@ def _completed(lattices: Lattices, nodes: np.ndarray, seeds: np.ndarray) -> tupl
         while len(later):
             edge[later] += 1
             later = later[u[later] > lattices.upto[edge[later]]]
-        owners.append(active)
-        chosen.append(edge)
+        steps.append((active, edge))
+        sizes[active] += 1
         log[active] += lattices.log[edge]
         to = lattices.to[edge]
         on = to >= 0
         active, at, step = active[on], to[on], step + 1
-    if not owners:
-        return np.empty(0, np.int64), np.empty(0, np.int64), log
-    owner = np.concatenate(owners)
-    order = _in_order(owner)
-    return np.concatenate(chosen)[order], np.bincount(owner, minlength=len(nodes)), log
+    place = np.cumsum(sizes) - sizes
+    chosen = np.empty(sizes.sum(), np.int64)
+    for step, (active, edge) in enumerate(steps):
+        chosen[place[active] + step] = edge
+    return chosen, sizes, log
 
 
-def _other_path(lattices: Lattices, node: int, taken: list[tuple[tuple[int, ...], float]], seed: np.ndarray) -> tuple[tuple[int, ...], float]:
+def _other_path(lattices: Lattices, node: int, taken: list[tuple[tuple[int, ...], float]], seed: int) -> tuple[tuple[int, ...], float]:
     """A random path from the node that is none of the taken ones."""
     path, log, step = (), 0.0, 0
     u = None
@@ -352,7 +395,7 @@ def _other_path(lattices: Lattices, node: int, taken: list[tuple[tuple[int, ...]
             ways = 1 if to < 0 else lattices.paths[to]
             mass = math.exp(log + lattices.log[edge]) - sum(map(math.exp, under))
             weights.append(0.0 if len(under) >= ways else max(mass, 1e-300))
-        u = float(_uniform(seed, 1000 + step)[0]) * sum(weights)
+        u = _one(seed, 1000 + step) * sum(weights)
         edge = low
         for k, w in enumerate(weights):
             if w > 0:
@@ -391,71 +434,72 @@ def sample(texts: list[tuple[int, str]], lattices: Lattices, samples: int = SAMP
     first perturbed value that is not; all of them are there, and score 1, if a text has
     no more than ``samples`` segmentations.
     """
-    words = [words_of(text) for _, text in texts]
+    words = [_spaced(text) for _, text in texts]
     every = list(chain.from_iterable(words))
     nodes, sizes = lattices.starts(every), np.array([len(w) for w in words], np.int64)
     begins = np.cumsum(sizes) - sizes
     places = (np.arange(len(nodes)) - np.repeat(begins, sizes)).astype(np.uint64)
     spot = _mixed(places * np.uint64(0xD6E8FEB86659FD93) + np.repeat(np.array([seed & (1 << 64) - 1 for seed, _ in texts], np.uint64), sizes))
-    parts = [slice(a, a + n) for a, n in zip(begins.tolist(), sizes.tolist(), strict=True)]
-    chains, spots = [nodes[p] for p in parts], [spot[p] for p in parts]
     ways = lattices.paths[nodes]
     paths: list[list[Path]] = [[] for _ in texts]
     nothing = np.empty(0, np.int32)
     for turn in range(samples):
         # (text, path to leave, word to leave it at, bound); the first paths leave nothing
         leaving = []
-        for d, nodes in enumerate(chains):
-            if not len(nodes):
+        for d, begin in enumerate(begins.tolist()):
+            if not len(words[d]):
                 continue
             if not turn:
-                leaving.append((d, None, -1, float(-np.log(-np.log(_uniform(spots[d][:1], 1 << 20)[0])))))
+                leaving.append((d, None, -1, -math.log(-math.log(_one(int(spot[begin]), 1 << 20)))))
                 continue
             best = max(paths[d], key=lambda p: p.best)
             if best.best > -math.inf:
                 leaving.append((d, best, int(best.bounds.argmax()), best.best))
-        rest = [chains[d][k + 1 :] for d, _, k, _ in leaving]
-        seeds = [spots[d][k + 1 :] + np.uint64(turn << 40) for d, _, k, _ in leaving]
         if not leaving:
             break
-        edges, sizes, logs = _completed(lattices, np.concatenate(rest), _mixed(np.concatenate(seeds)))
-        ends = np.cumsum(sizes)
+        texts_left, after = np.array([d for d, *_ in leaving]), np.array([k + 1 for _, _, k, _ in leaving])
+        lengths = sizes[texts_left]
+        # all words of these texts, and those behind the places left
+        whole, rest = _ranges(begins[texts_left], lengths), _ranges(begins[texts_left] + after, lengths - after)
+        edges, counts, ends_logs = _completed(lattices, nodes[rest], _mixed(spot[rest] + np.uint64(turn << 40)))
+        ends = np.concatenate(([0], np.cumsum(counts)))
         # what of each word's probability its path leaves, and the draws behind new bounds
         with np.errstate(divide="ignore"):
-            others = np.log(-np.expm1(np.minimum(logs, 0.0)))
-        draws = np.log(-np.log(_uniform(spot, (1 << 21) + turn)))
-        at = 0
-        for (d, old, k, top), part in zip(leaving, rest, strict=True):
-            words, size = slice(at, at + len(part)), len(part)
-            begin, end = (ends[at - 1] if at else 0), (ends[at + size - 1] if size else 0)
-            fresh = edges[begin:end] if size else nothing
-            at += size
-            if old is None:
-                made = Path(top, fresh, np.concatenate(([0], np.cumsum(sizes[words]))), logs[words], nothing)
-            else:
-                node = int(chains[d][k])
-                taken = old.taken.get(k) or [(old.word(k), float(old.logs[k]))]
-                one, log = _other_path(lattices, node, taken, spots[d][k : k + 1] + np.uint64(turn << 40))
-                lengths = np.concatenate((np.diff(old.offsets[: k + 1]), [len(one)], sizes[words]))
-                made = Path(
-                    top, np.concatenate((old.edges[: old.offsets[k]], one, fresh)), np.concatenate(([0], np.cumsum(lengths))),
-                    np.concatenate((old.logs[:k], [log], logs[words])), nothing, taken={k: [*taken, (one, log)]},
-                )
+            others = np.log(-np.expm1(np.minimum(ends_logs, 0.0)))
+        others[ways[rest] <= 1] = -math.inf
+        draws = np.log(-np.log(_uniform(spot[whole], (1 << 21) + turn)))
+        logs, behind, left = np.empty(len(whole)), np.empty(len(whole)), np.full(len(whole), -math.inf)
+        made, at, start = [], 0, 0
+        for (d, old, k, top), length in zip(leaving, lengths.tolist(), strict=True):
+            stop, size = start + length, length - k - 1
+            logs[stop - size : stop] = ends_logs[at : at + size]
+            left[stop - size : stop] = others[at : at + size]
+            fresh, offsets = edges[ends[at] : ends[at + size]], ends[at : at + size + 1] - ends[at]
+            taken = {}
+            if old is not None:
+                node, seed = int(nodes[begins[d] + k]), int(spot[begins[d] + k]) + (turn << 40)
+                gone = old.taken.get(k) or [(old.word(k), float(old.logs[k]))]
+                one, log = _other_path(lattices, node, gone, seed)
+                fresh = np.concatenate((old.edges[: old.offsets[k]], one, fresh))
+                offsets = np.concatenate((old.offsets[: k + 1], offsets + (old.offsets[k] + len(one))))
+                logs[start : start + k], logs[start + k] = old.logs[:k], log
+                taken = {k: [*gone, (one, log)]}
+                if ways[begins[d] + k] > len(taken[k]):
+                    left[start + k] = math.log(max(1 - sum(math.exp(p) for _, p in taken[k]), 1e-300))
                 old.bounds[k] = -math.inf
                 old.best = float(old.bounds.max())
-            behind = np.cumsum(made.logs) - made.logs
-            left = np.full(len(made.logs), -math.inf)
-            left[k + 1 :] = np.where(ways[parts[d]][k + 1 :] <= 1, -math.inf, others[words])
-            if k >= 0:
-                gone = made.taken[k]
-                if ways[parts[d]][k] > len(gone):
-                    left[k] = math.log(max(1 - sum(math.exp(p) for _, p in gone), 1e-300))
-            # Gumbel variables with these locations, given that they are below ``top``
-            with np.errstate(over="ignore"):
-                made.bounds = -np.logaddexp(-top, draws[parts[d]] - (behind + left))
-            made.bounds[left == -math.inf] = -math.inf
-            made.best = float(made.bounds.max())
-            paths[d].append(made)
+            np.cumsum(logs[start:stop], out=behind[start:stop])
+            made.append(Path(top, fresh, offsets, logs[start:stop], nothing, taken=taken))
+            at, start = at + size, stop
+        behind -= logs
+        # Gumbel variables with these locations, given that they are below ``top``
+        with np.errstate(over="ignore"):
+            bounds = -np.logaddexp(np.repeat([-top for *_, top in leaving], lengths), draws - (behind + left))
+        bounds[left == -math.inf] = -math.inf
+        starts = np.cumsum(lengths) - lengths
+        for d, path, start, stop, best in zip(texts_left.tolist(), made, starts.tolist(), (starts + lengths).tolist(), np.maximum.reduceat(bounds, starts).tolist(), strict=True):
+            path.bounds, path.best = bounds[start:stop], best
+            paths[d].append(path)
     out = []
     for d in range(len(texts)):
         if not paths[d]:

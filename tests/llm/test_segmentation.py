@@ -139,3 +139,22 @@ def test_lattices_that_a_worker_keeps_leave_room_for_others():
     columns = [(made.first, made.nodes), (made.paths, made.nodes), *((c, made.edges) for c in (made.piece, made.to, made.log, made.upto))]
     a_node = sum(c.itemsize * size for c, size in columns) / made.nodes
     assert a_node * made.kept < 100e6
+
+
+def test_words_that_come_again_stay(monkeypatch):
+    """Each group has words of its own; the ones all groups share are made once."""
+    made = Counter()
+    add = seg.Lattices._add
+    monkeypatch.setattr(seg.Lattices, "_add", lambda self, words: (made.update(w.strip(" " + seg.SPACE) for w in words), add(self, words))[1])
+    kept = seg.Lattices(VOCABULARY, kept=200)
+    for g in range(40):
+        text = f"shared words stay {g:030d}"
+        got, alone = (seg.sample([(g, text)], lattices, 3)[0] for lattices in (kept, seg.Lattices(VOCABULARY)))
+        assert [x[0].tolist() for x in got] == [x[0].tolist() for x in alone] and seg.decode(got[0][0]) == text
+    # once by the kept lattices, and once by each of the 40 others
+    assert made["shared"] == made["words"] == made["stay"] == 41
+    assert kept.nodes <= 200 + len(text) + 1
+    # beyond half of the room nothing stays
+    full, words = seg.Lattices(VOCABULARY, kept=23), [" shared", " words", " stay", " here"]
+    assert [full.starts(w).tolist() for w in (words, words, [" other"], [" x"])] == [[0, 7, 13, 18]] * 2 + [[23], [0]]
+    assert full.nodes == 2
